@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import simhash
+from ledgerlens.llm import html_text, simhash, url_filter
 
 QUERIES = {
+    "op1_html_text": html_text.op1_html_text,
     "op5_simhash": simhash.op5_simhash,
+    "op9_url_filter": url_filter.op9_url_filter,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_url_filter": url_filter.OP9_SQL}
