@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import html_text, quality, simhash, token_store, url_filter
+from ledgerlens.llm import ann, html_text, quality, simhash, token_store, url_filter
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op2_quality": quality.op2_quality,
+    "op3_ann": ann.op3_ann,
     "op4_token_store": token_store.op4_token_store,
     "op5_simhash": simhash.op5_simhash,
     "op9_url_filter": url_filter.op9_url_filter,
