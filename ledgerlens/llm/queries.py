@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import ann, html_text, quality, simhash, token_store, url_filter
+from ledgerlens.llm import ann, decontaminate, html_text, quality, simhash, token_store, url_filter
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_ann": ann.op3_ann,
     "op4_token_store": token_store.op4_token_store,
     "op5_simhash": simhash.op5_simhash,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 ORACLES: dict[str, str] = {"op9_url_filter": url_filter.OP9_SQL}
