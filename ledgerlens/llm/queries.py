@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import ann, decontaminate, html_text, quality, simhash, token_store, url_filter
+from ledgerlens.llm import ann, decontaminate, html_text, quality, secrets, simhash, token_store, url_filter
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -12,5 +12,6 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_secrets": secrets.op10_secrets,
 }
 ORACLES: dict[str, str] = {"op9_url_filter": url_filter.OP9_SQL}
