@@ -7,11 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import simhash
+from ledgerlens.llm import decontaminate, pieces, quality, secrets, simhash
 from ledgerlens.llm.common import table, written
 
 STAGES = [
+    ("quality classifier", quality.keep_good),
     ("simhash near-dedup", simhash.near_dedup),
+    ("benchmark decontamination", decontaminate.drop_contaminated),
+    ("secret scans", secrets.redact),
+    ("sentencepiece encoding and decoding", pieces.tokens),
 ]
 
 #: No SQL form: see tests/llm/test_pipeline.py.
