@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from ledgerlens.plans import quality_plans, signal_plans  # noqa: F401
+from ledgerlens.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
