@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.plans import quality_plans, signal_plans  # noqa: F401
+from ledgerlens.plans import forecast_plans, quality_plans, reconcile_plans, signal_plans  # noqa: F401
 from ledgerlens.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
