@@ -164,9 +164,9 @@ _RULES = [("brass", "polish", 1, "caution"), ("brass", "inspect", 2, "hold"), ("
 
 
 @query(_SUBJECTS + ", ru(code, rule, place, least) as (values " + ", ".join(f"('{a}', '{r}', {o}, {rules.READINESS.index(m) + 1})" for a, r, o, m in _RULES) + """),
- e as (select p_partkey, case readiness when 'hold' then 1 when 'caution' then 2 else 3 end lvl, unnest(codes) code, generate_subscripts(codes, 1) nth from sj),
- c as (select p_partkey, rule, min(nth * 100 + place) pos from e join ru using (code) where lvl >= least group by 1, 2 union all select p_partkey, 'foundation', -1 from sj where readiness = 'hold')
- select p_partkey, rule, row_number() over (partition by p_partkey order by pos, rule)::integer priority from c""")
+ ex as (select p_partkey, case readiness when 'hold' then 1 when 'caution' then 2 else 3 end lvl, unnest(codes) code, generate_subscripts(codes, 1) nth from sj),
+ ch as (select p_partkey, rule, min(nth * 100 + place) pos from ex join ru using (code) where lvl >= least group by 1, 2 union all select p_partkey, 'foundation', -1 from sj where readiness = 'hold')
+ select p_partkey, rule, row_number() over (partition by p_partkey order by pos, rule)::integer priority from ch""")
 def q_rule_stack(spark, sf):
     return rules.stack(_subjects(spark, sf), "p_partkey", _RULES)
 
