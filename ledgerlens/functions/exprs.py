@@ -127,7 +127,7 @@ def json_list(c: Column) -> Column:
     """Null, blank or nan: empty; a JSON list; a list with bars; one value. Trimmed, blanks left out."""
     t = clean_text(c, nan_is_null=True)
     raw = F.when(t.isNull(), F.array().cast("array<string>")).when(t.startswith("["), F.from_json(t, "array<string>")).when(t.contains("|"), F.split(t, r"\|")).otherwise(F.array(t))
-    return F.filter(F.transform(F.coalesce(raw, F.array(t)), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.coalesce(raw, F.array(t)), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def parse_flag(c: Column) -> Column:
@@ -138,7 +138,7 @@ def parse_flag(c: Column) -> Column:
 
 def distinct_texts(c: Column) -> Column:
     """Trimmed, without blanks and repeats, first occurrences in order."""
-    return F.array_distinct(F.filter(F.transform(c, F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def tokens(c: Column) -> Column:
