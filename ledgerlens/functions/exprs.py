@@ -120,7 +120,8 @@ def franchise_share(c: Column) -> Column:
     def percent(word: str) -> Column:
         return F.nullif(F.regexp_extract(c, rf"([0-9]+(?:\.[0-9]+)?)\s*%{word}", 1), F.lit("")).try_cast("double") / 100
 
-    return F.coalesce(percent("加盟"), percent("授权"), F.greatest(F.lit(0.0), 1 - percent("直营")))
+    own = percent("直营")
+    return F.coalesce(percent("加盟"), percent("授权"), F.when(own.isNotNull(), F.greatest(F.lit(0.0), 1 - own)))
 
 
 def json_list(c: Column) -> Column:

@@ -132,8 +132,8 @@ def diagnose(filtered: DataFrame, unfiltered: DataFrame, relevant: DataFrame, qu
     return out.select(query_id, "targets", "found", cause.alias("cause"))
 
 
-def bucket_means(metrics: DataFrame, buckets: Column, names: list[str]) -> DataFrame:
-    return metrics.select(F.explode(buckets).alias("bucket"), *names).groupBy("bucket").agg(F.count("*").alias("queries"), *[F.bround(F.avg(n), 6).alias(n) for n in names])
+def bucket_means(metrics: DataFrame, buckets: Column, names: list[str], places: int = 6) -> DataFrame:
+    return metrics.select(F.explode(buckets).alias("bucket"), *names).groupBy("bucket").agg(F.count("*").alias("queries"), *[F.bround(F.avg(n), places).alias(n) for n in names])
 
 
 def adjudicate(judgments: DataFrame, reviewers: int) -> DataFrame:

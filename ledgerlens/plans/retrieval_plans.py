@@ -40,9 +40,9 @@ def _bm25(spark, sf, k, candidates=None):
     return retrieval.bm25(table(spark, sf, "documents"), "doc_id", "text", bench, "item_id", "query", k, candidates)
 
 
-@query(_BM25.format(where="") + "select item_id, doc_id, round_even(score, 4) score, k::integer rank from r where k <= 5")
+@query(_BM25.format(where="") + "select item_id, doc_id, score, k::integer rank from r where k <= 5")
 def q_bm25_topk(spark, sf):
-    return _bm25(spark, sf, 5).select("item_id", "doc_id", F.bround("score", 4).alias("score"), "rank")
+    return _bm25(spark, sf, 5).select("item_id", "doc_id", "score", "rank")
 
 
 _DENSE = """with v as (select vec_id, label, list_transform(embedding, lambda x: x::double) e from embeddings), u as (select vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) e from v),
@@ -86,15 +86,15 @@ def _ir(spark, sf):
     return retrieval.ir_metrics(_dense(spark, sf, 10), _relevant(spark, sf), "query_id", "vec_id", 10)
 
 
-@query(_IR + "select query_id, relevant, recall, mrr, round_even(ndcg, 5) ndcg from m")
+@query(_IR + "select query_id, relevant, recall, mrr, ndcg from m")
 def q_ir_metrics(spark, sf):
-    return _ir(spark, sf).withColumn("ndcg", F.bround("ndcg", 5))
+    return _ir(spark, sf)
 
 
-@query(_IR + """, b as (select unnest([case when query_id % 2 = 0 then 'even' else 'odd' end, 'all']) bucket, recall, mrr from m) select bucket, count(*) queries, round_even(avg(recall), 5) recall, round_even(avg(mrr), 5) mrr from b group by 1""")
+@query(_IR + """, b as (select unnest([case when query_id % 2 = 0 then 'even' else 'odd' end, 'all']) bucket, recall, mrr from m) select bucket, count(*) queries, round_even(avg(recall), 9) recall, round_even(avg(mrr), 9) mrr from b group by 1""")
 def q_bucket_metrics(spark, sf):
     buckets = F.array(F.when(F.col("query_id") % 2 == 0, "even").otherwise("odd"), F.lit("all"))
-    return retrieval.bucket_means(_ir(spark, sf), buckets, ["recall", "mrr"]).withColumns({"recall": F.bround("recall", 5), "mrr": F.bround("mrr", 5)})
+    return retrieval.bucket_means(_ir(spark, sf), buckets, ["recall", "mrr"], places=9)
 
 
 @query(_DENSE + """, g as (select query_id, vec_id from s where label = ql and vec_id % 25 = 0),
