@@ -146,5 +146,10 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit("([a-z0-9']+)"), F.lit(1))
 
 
+def clamped(c: Column, low: float = 0.0, high: float = 1.0) -> Column:
+    """Within bounds; null stays null (least and greatest alone would take the bound)."""
+    return F.when(c.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), c)))
+
+
 def half_even(c: Column, places: int = 6) -> Column:
     return F.bround(c, places)

@@ -52,7 +52,7 @@ def normalise_provenance(df: DataFrame) -> DataFrame:
     rest = [c for c in df.columns if c not in used]
     out = {f: named(f) for f in PROVENANCE_FIELDS}
     out["as_of_date"] = F.try_to_date(out["as_of_date"], "yyyy-MM-dd")
-    out["confidence_score"] = F.least(F.lit(1.0), F.greatest(F.lit(0.0), out["confidence_score"].try_cast("double")))
+    out["confidence_score"] = exprs.clamped(out["confidence_score"].try_cast("double"))
     extra = F.to_json(F.struct(*[F.col(c) for c in rest]), {"ignoreNullFields": "false"}) if rest else F.lit("{}")
     return df.select(*[c.alias(n) for n, c in out.items()], extra.alias("extra"))
 

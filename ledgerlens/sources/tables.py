@@ -99,7 +99,7 @@ def standardise(df: DataFrame, template: str, metrics: dict[str, list[str]], sco
     canonical = F.coalesce(exprs.clean_text(F.col("canonical_brand_name")), exprs.display_name(F.col("brand_name"))) if "canonical_brand_name" in df.columns else exprs.display_name(F.col("brand_name"))
     keep = [c for c in ("source_type", "source_name", "source_url_or_doc_id", "method_reported_or_estimated", "notes", "currency", "geography") if c in df.columns]
     dates = F.try_to_date(F.col("as_of_date"), "yyyy-MM-dd") if "as_of_date" in df.columns else F.lit(None).cast("date")
-    confidence = F.least(F.lit(1.0), F.greatest(F.lit(0.0), exprs.safe_double(F.col("confidence_score")))) if "confidence_score" in df.columns else F.lit(None).cast("double")
+    confidence = exprs.clamped(exprs.safe_double(F.col("confidence_score"))) if "confidence_score" in df.columns else F.lit(None).cast("double")
     return out.select(F.trim("brand_name").alias("brand_name"), canonical.alias("canonical_brand_name"), F.lit(template).alias("template"), *[exprs.clean_text(F.col(c)).alias(c) for c in keep], dates.alias("as_of_date"), confidence.alias("confidence_score"), *[v.alias(m) for m, v in named.items()])
 
 
