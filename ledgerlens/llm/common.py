@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +53,17 @@ def maybe_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> Da
     return F.broadcast(df) if rows <= bound else df
 
 
+def by_size(batch: pa.RecordBatch, column: str, rows: int = 2000, limit: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ``rows`` rows and about ``limit`` bytes of a text column, one row at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        base = sizes[at - 1] if at else 0
+        end = min(max(int(np.searchsorted(sizes, base + limit, "right")), at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def bit_distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
