@@ -37,6 +37,10 @@ HOLDERS = frozenset("html body div section article main nav aside header footer
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 #: Holders in which a header belongs to the article.
 ARTICLES = frozenset(["article", "main"])
+#: Class words that name the article itself, and those that only describe a layout (has-sidebar).
+OWN_WORDS = frozenset("article main post entry story".split())
+LAYOUT_WORDS = frozenset("has with no without".split())
+HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 
 
 # ---------------------------------------------------------------- labelled pages
@@ -45,7 +49,8 @@ BOILERPLATE_WORDS = (
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar widget related recommended footer header masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe "
     "subscription signup comment comments commentlist discussion disqus responses reader share sharing social login search pagination pager "
-    "copyright legal disclaimer toolbar topbar contentinfo complementary dialog skip"
+    "copyright legal disclaimer toolbar topbar contentinfo complementary dialog skip reply replies feedback adsense adbox adslot advertorial "
+    "announcement privacy paywall outbrain taboola teaser"
 ).split()
 CONTENT_WORDS = "article content main post entry story body text page container wrapper prose".split()
 BOILERPLATE_TAGS = "nav aside footer form header dialog fieldset".split()
@@ -90,12 +95,19 @@ def _boilerplate(name: str, attrs: str, in_article: bool) -> bool:
         return True
     if not attrs or name in ("html", "body"):
         return False
+    words: set[str] = set()
     for m in ATTR.finditer(attrs):
         if m[5]:
             return True
-        if not bad_words.isdisjoint(re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())):
-            return not (name in ARTICLES)
-    return False
+        words.update(re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower()))
+    if HIDDEN.search(attrs):
+        return True
+    bad = words & bad_words
+    if bad and (in_article or words & OWN_WORDS):
+        bad -= {"header"}  # an article's own header
+    if not bad or words & LAYOUT_WORDS:
+        return False
+    return not (name in ARTICLES and words & OWN_WORDS)
 
 
 def extract(page: str | None) -> str:
@@ -156,8 +168,11 @@ def extract(page: str | None) -> str:
                         break
                 path = tuple(s[1] for s in stack)
             continue
+        while stack and not inline and (stack[-1][0] == "p" or stack[-1][0] == name == "li"):
+            out_depth -= stack.pop()[2]  # a paragraph or list item that was left out and not closed
+            path = tuple(s[1] for s in stack)
         bad = _boilerplate(name, attrs, articles > 0)
-        if name in HOLDERS or bad and name not in ("p", "li"):
+        if name in HOLDERS or bad:
             if bad:
                 flush()
             serial += 1

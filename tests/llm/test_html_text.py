@@ -41,3 +41,11 @@ def test_operator(spark):
     assert len(out) == 5 and all(r.n_chars == len(r.text) for r in out)
     assert {r.page_id: r.n_chars for r in out}[3] == 399_999
     assert h.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_boilerplate_by_class_words():
+    body = "<p>Real words of the article stand here.</p>"
+    for extra in ('<p class="ad">Buy<p>', '<article class="comment"><p>Nice</p></article>', '<div hidden>x</div>', '<div style="display: none">x</div>', '<ul><li class="promo">x<li>', '<div role="alert">x</div>', '<span class="share">x</span>'):
+        assert h.extract(f"<body><article>{body}{extra}</article></body>") == "Real words of the article stand here.", extra
+    assert h.extract(f'<body><div class="content has-sidebar">{body}</div></body>') == "Real words of the article stand here."
+    assert h.extract(f'<body><article><div class="entry-header"><h1>Title</h1></div>{body}</article></body>') == "Title\nReal words of the article stand here."
