@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import table, written
+from ledgerlens.llm.common import by_size, table, written
 
 CHUNK = 16_384  # characters of a chunk; longer documents are giant
-CACHE = 600_000  # segments a worker remembers; it forgets all of them beyond
+CACHE = 120_000  # segments a worker remembers; it forgets all of them beyond
 LONG = 200  # longer segments are not remembered
 SPACE = "▁"
 SEGMENT = re.compile(" +[^ \n]*|\n[^ \n]*")
@@ -73,7 +73,7 @@ class Pieces:
         """Whether piece b may follow piece a."""
         found = self.fits.get((a, b))
         if found is None:
-            if len(self.fits) > 4 * CACHE:
+            if len(self.fits) > 2 * CACHE:
                 self.fits.clear()
             found = self.fits[a, b] = self.merge(a + b) == ([a, b] if a else [b])
         return found
@@ -277,8 +277,9 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "text_crc32": batch.column("text_crc32"), "ids": pa.array(map(model.encode, texts), pa.binary())})
+            for part in by_size(batch, "text", 500):
+                ids = pa.array(map(model.encode, part.column("text").to_pylist()), pa.binary())
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "text_crc32": part.column("text_crc32"), "ids": ids})
 
     crc = F.crc32(F.col("text").cast("binary")).alias("text_crc32")
     small = docs.where(F.length("text") <= chunk).select("doc_id", crc, "text").mapInArrow(run, "doc_id long, text_crc32 long, ids binary")
@@ -325,8 +326,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(x, "<u2").astype(np.int32) for x in batch.column("ids").to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32()))})
+            for part in by_size(batch, "ids", 500, 2_000_000):
+                ids = [np.frombuffer(x, "<u2").astype(np.int32) for x in part.column("ids").to_pylist()]
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
     return encode(docs, default_model()).select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
