@@ -53,6 +53,12 @@ def maybe_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> Da
     return F.broadcast(df) if rows <= bound else df
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows from here on in the session: texts of some kilobytes each need buffers of
+    some megabytes then, on either side of the pipe, and not of a hundred."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def by_size(batch: pa.RecordBatch, column: str, rows: int = 2000, limit: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of at most ``rows`` rows and about ``limit`` bytes of a text column, one row at least."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -9,21 +9,23 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import cache
 from math import ceil
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.common import maybe_broadcast, new_path, table
+from ledgerlens.llm.common import by_size, maybe_broadcast, new_path, small_batches, table
 
 END = 2
-BLOCK_IDS = 1 << 20  # a block closes at so many ids; one longer document makes a block of its own
+BLOCK_IDS = 1 << 19  # a block closes at so many ids; one longer document makes a block of its own
 BUCKET_DOCS = 20_000
-CACHE = 400_000  # distinct words a worker remembers; it forgets all of them beyond
+CACHE = 250_000  # distinct words a worker remembers; it forgets all of them beyond
 LONG = 200  # longer words are encoded each time
 
 FORMAT = "bucket int, block int, doc_ids array<bigint>, n_ids bigint, width int, ids binary, low_bits int, low binary, high binary, samples binary"
@@ -89,35 +91,77 @@ class EliasFano:
 class WordEncoder:
     """Encodes texts with a tokenizer whose pre-tokens never span white space: each distinct word is encoded once.
 
-    Texts are cut at spaces and line feeds only; a word's ids do not depend on its neighbours.
+    Texts are cut at spaces and line feeds only; a word's ids do not depend on its neighbours. A word of letters with
+    signs at its end is two pre-tokens, each encoded once; new words of letters go to the library many at a time.
     """
 
+    SIGNS = ".,;:!?*#$%&|()"
+    JOINED = 500
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {"": b""}
+        n = self.tokenizer.get_vocab_size()
+        self.dtype = "<u2" if n <= 1 << 16 else "<u4"
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
+        self.forget()
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def batch(self, texts: list) -> Iterator[bytes]:
-        for text in texts:
-            if len(self.known) > CACHE:
-                self.known = {"": b""}
-            words = (text or "").replace("\n", " ").split(" ")
-            known = self.known
-            got = list(map(known.get, words))
-            if None in got:
-                new = {w for w, g in zip(words, got) if g is None}
-                short = [w for w in new if len(w) <= LONG]
-                known.update(zip(short, self._encode(short)))
-                long = [w for w in new if len(w) > LONG]
-                rest = dict(zip(long, self._encode(long)))
-                got = [g if g is not None else known[w] if w in known else rest[w] for w, g in zip(words, got)]
-            yield b"".join(got)
+    def forget(self) -> None:
+        self.known: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {}
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
+
+    def _learn_letters(self, words: list[str]) -> None:
+        groups = [words[i : i + self.JOINED] for i in range(0, len(words), self.JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False) if groups else []):
+            ids = np.array(e.ids, self.dtype)
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) == len(group):
+                raw, size = ids.tobytes(), ids.itemsize
+                self.letters.update((w, raw[a * size : b * size]) for w, a, b in zip(group, [0, *stops], stops))
+            else:  # some word is more than one pre-token after normalisation
+                self.letters.update(zip(group, self._each(group)))
+
+    def _coded(self, words: pa.Array) -> list[bytes]:
+        """Ids of different words."""
+        if len(self.known) > CACHE or len(self.letters) > CACHE:
+            self.forget()
+        bases = pc.utf8_rtrim(words, characters=self.SIGNS)
+        plain = pc.utf8_is_alpha(bases).to_pylist()
+        words, bases = words.to_pylist(), bases.to_pylist()
+        self._learn_letters(list({b for b, ok in zip(bases, plain) if ok} - self.letters.keys()))
+        signs = [w[len(b) :] if ok else w for w, b, ok in zip(words, bases, plain)]
+        new = list(set(signs) - self.known.keys())
+        long = [w for w in new if len(w) > LONG]
+        new = [w for w in new if len(w) <= LONG]
+        self.known.update(zip(new, self._each(new)))
+        known = self.known | dict(zip(long, self._each(long))) if long else self.known
+        letters = self.letters
+        return [letters[b] + known[s] if ok else known[s] for b, s, ok in zip(bases, signs, plain)]
+
+    def batch(self, texts: pa.Array, tail: bytes = b"") -> list[bytes]:
+        """Ids of each text, with ``tail`` after each. Words are told apart by Arrow; only different ones come here."""
+        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        counts, coded = pc.list_value_length(words).to_numpy(), pc.list_flatten(words).dictionary_encode()
+        got = self._coded(coded.dictionary)
+        size = np.dtype(self.dtype).itemsize
+        flat, lengths = np.frombuffer(b"".join(got), self.dtype), np.fromiter(map(len, got), np.int64, len(got)) // size
+        firsts, order = np.cumsum(lengths) - lengths, coded.indices.to_numpy()
+        n = lengths[order]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(firsts[order] - ends + n, n) + np.arange(n.sum())].tobytes()
+        cuts = (np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))] * size).tolist()
+        return [ids[a:b] + tail for a, b in zip(cuts, cuts[1:])]
+
+
+@cache
+def encoder_of(path: str) -> WordEncoder:
+    """One for each worker process, which keeps its words from task to task."""
+    return WordEncoder(path)
 
 
 def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
@@ -127,6 +171,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
     that column only; texts are encoded where they are read, and only ids (two bytes each) are shuffled.
     """
     spark = docs.sparkSession
+    small_batches(spark, 2000)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = docs.agg(F.count("doc_id")).first()[0]
@@ -135,14 +180,14 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
     bounds = np.unique(np.array(cuts or [], np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         tail = np.array([end], encoder.dtype).tobytes()
         width = len(tail)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in by_size(batch, "text"):
                 bucket = pa.array([-1 if d is None else int(np.searchsorted(bounds, d, "right")) for d in part.column("doc_id").to_pylist()], pa.int32())
-                ids = pa.array([b + tail for b in encoder.batch(part.column("text").to_pylist())], pa.binary())
+                ids = pa.array(encoder.batch(part.column("text"), tail), pa.binary())
+                pa.default_memory_pool().release_unused()
                 yield pa.record_batch({"bucket": bucket, "doc_id": part.column("doc_id"), "tie": part.column("tie"), "width": pa.array([width] * part.num_rows, pa.int32()), "ids": ids})
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +218,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
 
 def decode(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, ids binary, width) of every document, from the files alone."""
+    small_batches(spark, 2000)
     blocks = spark.read.schema(FORMAT).parquet(path)
     order = Window.orderBy("bucket", "block").rowsBetween(Window.unboundedPreceding, -1)
     heads = blocks.select("bucket", "block", "n_ids")  # a few bytes for each million ids
