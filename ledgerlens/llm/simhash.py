@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import components, cut, maybe_broadcast, table
+from ledgerlens.llm.common import by_size, components, cut, maybe_broadcast, table
 
 SEED = 42
 HOT = 20_000  # rows of a bucket above which it is dealt anew
@@ -48,15 +48,21 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """The distinct shingle hashes, sorted."""
+    return np.unique(shingle_hashes(text, size))
+
+
 def sign_table(bits: int, rows: int = 2048) -> np.ndarray:
     """Fixed pseudo-random signs: row h mod rows holds the ``bits`` votes of a shingle with hash h."""
     return np.random.default_rng(SEED).choice(np.array([-1, 1], np.float32), (rows, bits))
 
 
-def wide_fingerprints(texts: list, size: int, signs: np.ndarray) -> list[bytes]:
-    """Wide fingerprints: the shingles' votes are summed by hash bucket, then multiplied with the sign table."""
+def wide_fingerprints(sets: list[np.ndarray], signs: np.ndarray) -> list[bytes]:
+    """Wide fingerprints: each distinct shingle adds its own sign (the top bit of its hash) to its bucket, and the sums are
+    multiplied with the sign table. The signs centre the sums, so that disjoint texts of any length have cosine 0."""
     rows = len(signs)
-    sums = np.stack([np.bincount((shingle_hashes(t, size) % np.uint64(rows)).astype(np.int64), minlength=rows) for t in texts]).astype(np.float32)
+    sums = np.stack([np.bincount((h % np.uint64(rows)).astype(np.int64), 1.0 - 2.0 * (h >> np.uint64(63)), rows) for h in sets]).astype(np.float32)
     packed = np.packbits(sums @ signs > 0, axis=1, bitorder="little")
     return [row.tobytes() for row in packed]
 
@@ -137,16 +143,30 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return out
 
 
-def bucket_links(distance: int):
-    """Over partitions sorted by key: the links of each bucket; buckets may span batches."""
+def across(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """All pairs within ``distance`` bits whose last words differ."""
+    out = []
+    for i in range(len(fps) - 1):
+        near = (np.bitwise_count(fps[i + 1 :, :-1] ^ fps[i, :-1]).sum(axis=1) <= distance) & (fps[i + 1 :, -1] != fps[i, -1])
+        out += [(i, i + 1 + x) for x in np.flatnonzero(near)]
+    return out
+
+
+def bucket_links(distance: int, cross: bool = False):
+    """Over partitions sorted by key: the links of each bucket; buckets may span batches. ``cross``: instead of a forest
+    all pairs of rows whose components, the last words of fp, differ."""
+    pairs_of = across if cross else forest
 
     def rows(node: np.ndarray, fps: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch | None:
         lo, hi = cuts[:-1], cuts[1:]
         two = lo[hi - lo == 2]
-        near = two[np.bitwise_count(fps[two] ^ fps[two + 1]).sum(axis=1) <= distance]
+        if cross:
+            two = two[fps[two, -1] != fps[two + 1, -1]]
+        words = fps[:, :-1] if cross else fps
+        near = two[np.bitwise_count(words[two] ^ words[two + 1]).sum(axis=1) <= distance]
         a, b = [node[near]], [node[near + 1]]
         for i in np.flatnonzero(hi - lo > 2):
-            pairs = np.array(forest(fps[lo[i] : hi[i]], distance), np.int64).reshape(-1, 2) + lo[i]
+            pairs = np.array(pairs_of(fps[lo[i] : hi[i]], distance), np.int64).reshape(-1, 2) + lo[i]
             a.append(node[pairs[:, 0]])
             b.append(node[pairs[:, 1]])
         a, b = np.concatenate(a), np.concatenate(b)
@@ -173,8 +193,9 @@ def bucket_links(distance: int):
     return links
 
 
-def links_of(nodes: DataFrame, keys, distance: int, hot: int = HOT) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs within ``distance``; nodes: (node long, fp binary)."""
+def links_of(nodes: DataFrame, keys, distance: int, hot: int = HOT, cross: bool = False) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs within ``distance``; nodes: (node long, fp binary).
+    ``cross``: all pairs of different components, which are the last words of fp."""
     keyed = nodes.mapInArrow(keys, "key long, node long, fp binary")
     sizes = keyed.groupBy("key").count().where(F.col("count") > hot).select("key")
     n_hot = sizes.count()
@@ -183,7 +204,7 @@ def links_of(nodes: DataFrame, keys, distance: int, hot: int = HOT) -> DataFrame
         again = keyed.join(sizes, "key", "left_semi").select("key", "node", "fp").mapInArrow(sub_keys(distance + 1), "key long, node long, fp binary")
         keyed = keyed.join(sizes, "key", "left_anti").select("key", "node", "fp").unionByName(again)
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(bucket_links(distance), LINK_SCHEMA)
+    return keyed.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(bucket_links(distance, cross), LINK_SCHEMA)
 
 
 # ---------------------------------------------------------------- operators
@@ -229,17 +250,73 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"node": node, "fp": pa.array([x.tobytes() for x in node.astype("<i8")], pa.binary())})
 
 
+def similar(docs: DataFrame, nodes: DataFrame, links: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The links (a, b) whose shingle sets have a Jaccard similarity of at least ``similarity``, counted exactly.
+
+    docs: (key, text); nodes: (node, key) with the key of a text that has the node's set. Texts without links are not hashed.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_size(batch, "text", 500):
+                made = [shingle_set(t, size).tobytes() for t in part.column("text").to_pylist()]
+                yield pa.record_batch({"node": part.column("node"), "s": pa.array(made, pa.binary())})
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("sa", "sb"))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok[i] = both >= similarity * (len(x) + len(y) - both)
+            yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(ok))
+
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = cut(nodes.select("node", "key").join(ends, "node"))
+    found = docs.join(maybe_broadcast(wanted, wanted.count()), "key").select("node", "text").mapInArrow(sets, "node long, s binary")
+    found = cut(found.groupBy("node").agg(F.first("s").alias("s")))
+    left, right = found.select(F.col("node").alias("a"), F.col("s").alias("sa")), found.select(F.col("node").alias("b"), F.col("s").alias("sb"))
+    return links.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(decide, LINK_SCHEMA)
+
+
+def exact_links(nodes: DataFrame, keys, distance: int, check) -> DataFrame:
+    """Links (a, b) that pass ``check``, with the components of all pairs that share a key, are within ``distance`` and pass.
+
+    The buckets' forests are checked first. Where that broke a group into several components, all its pairs between
+    two of them are checked as well; pairs inside a component cannot change it.
+    """
+    links = cut(links_of(nodes, keys, distance).distinct())
+    good = cut(check(links))
+    if good.count() == links.count():
+        return good
+    firm = components(good).select(F.col("node").alias("f_node"), F.col("root").alias("firm"))
+    parts = cut(components(links).join(firm, F.col("node") == F.col("f_node"), "left").select(F.col("node").alias("p_node"), "root", F.coalesce("firm", "node").alias("firm")))
+    broken = parts.groupBy("root").agg(F.min("firm").alias("lo"), F.max("firm").alias("hi")).where("lo < hi").select("root")
+    parts = parts.join(broken, "root", "left_semi")
+
+    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firm = batch.column("firm").to_numpy().astype("<i8")
+            fp = [x + r.tobytes() for x, r in zip(batch.column("fp").to_pylist(), firm)]
+            yield batch.select(again_columns[:-1]).append_column("fp", pa.array(fp, pa.binary()))
+
+    again_columns = [c for c in nodes.columns if c != "fp"] + ["fp"]
+    schema = ", ".join(f"{c} {dict(nodes.dtypes)[c]}" for c in again_columns)
+    again = nodes.join(parts, F.col("node") == F.col("p_node")).select(*again_columns, "firm").mapInArrow(tagged, schema)
+    more = links_of(cut(again), keys, distance, cross=True).distinct().join(links, ["a", "b"], "left_anti")
+    return good.unionByName(check(cut(more)))
+
+
 def wide_components(docs: DataFrame, size: int = 5, similarity: float = 0.8, blocks: int = 32) -> DataFrame:
-    """doc_id, node and component_id of each row by wide fingerprints, for a Jaccard similarity of shingles.
+    """doc_id, key (xxhash64 of the text), node and component_id of each row: components of the pairs whose sets of
+    shingles have at least that Jaccard similarity.
 
-    A shingle multiset pair of Jaccard s has cosine c = 2s / (1 + s), and its fingerprints differ in a share
-    arccos(c) / pi of their bits (0.14 at s = 0.8), far more than 64-bit pigeonhole blocks can promise. So the
-    fingerprint has ``blocks`` blocks as wide as the number of fingerprints asks (about four share a block value by
-    chance); a pair at the threshold shares one with probability about 0.95, closer pairs almost surely, and the
-    Hamming distance over all bits (512 at 32 blocks of 16) then decides.
+    Equal sets are one node. Candidates share a block of their wide fingerprints and are near by Hamming distance; a set
+    pair of Jaccard s has cosine c = 2s / (1 + s), and its fingerprints differ in a share arccos(c) / pi of their bits.
+    The exact similarity of the sets decides, so no pair below the threshold is linked.
     """
     cosine = 2 * similarity / (1 + similarity)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
     rows = docs.agg(F.count("*")).first()[0]
     width = max(12, ceil(log2(max(rows, 2))) - 2)
     bits = width * blocks
@@ -249,15 +326,15 @@ def wide_components(docs: DataFrame, size: int = 5, similarity: float = 0.8, blo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs = sign_table(bits)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                fp = wide_fingerprints(part.column("text").to_pylist(), size, signs)
-                node = np.array([xxhash.xxh64_intdigest(x, SEED) for x in fp], np.uint64).view(np.int64)
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "node": node, "fp": pa.array(fp, pa.binary())})
-
-    prints = cut(docs.mapInArrow(run, "doc_id long, node long, fp binary"))
-    nodes = cut(prints.groupBy("node").agg(F.min("fp").alias("fp")))
-    return grouped(prints.select("doc_id", "node"), links_of(nodes, wide_keys(width, blocks), distance), "node")
+            for part in by_size(batch, "text", 500):
+                sets = [shingle_set(t, size) for t in part.column("text").to_pylist()]
+                node = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "key": part.column("key"), "node": node, "fp": pa.array(wide_fingerprints(sets, signs), pa.binary())})
+
+    prints = cut(docs.mapInArrow(run, "doc_id long, key long, node long, fp binary"))
+    nodes = cut(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("key").alias("key")))
+    links = exact_links(nodes.select("node", "fp"), wide_keys(width, blocks), distance, lambda x: similar(docs.select("key", "text"), nodes, x, size, similarity))
+    return grouped(prints.select("doc_id", "key", "node"), links, "node")
 
 
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,36 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     rows = [(i, t) for i, t in enumerate(docs + near + docs[10:15])]
     out = s.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(r.doc_id for r in out.collect()) == list(range(30))
+
+
+def test_long_unrelated_texts_are_no_copies(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"{i}w{x}" for x in rng.integers(0, 9000, 20_000)) for i in range(6)]
+    rows = list(enumerate([*texts, texts[0] + " one more"]))
+    out = s.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in out.collect()) == list(range(6))
+    fps = [np.unpackbits(np.frombuffer(x, np.uint8)) for x in s.wide_fingerprints([s.shingle_set(t, 5) for t in texts], s.sign_table(512))]
+    assert min(int((fps[i] != fps[j]).sum()) for i in range(6) for j in range(i)) > 180
+
+
+def jaccard(x, y, size=5):
+    x, y = (set(map(tuple, (w[i : i + size] for i in range(len(w) - size + 1)))) for w in (x.split(), y.split()))
+    return len(x & y) / len(x | y)
+
+
+def test_only_pairs_at_the_threshold_are_linked(spark):
+    rng = np.random.default_rng(7)
+    texts = []
+    for k in range(25):
+        w = [f"{k}v{x}" for x in rng.integers(0, 9000, 300)]
+        for m in range(4):  # some pairs of each group are above 0.8, others below
+            v = list(w)
+            for p in rng.choice(290, 3 * m, replace=False):
+                v[p] = f"new{m}"
+            texts.append(" ".join(v))
+    pairs = {(i, j): jaccard(texts[i], texts[j]) for i in range(100) for j in range(i + 1, 4 * (i // 4) + 4)}
+    want = brute([p for p, x in pairs.items() if x >= 0.8])
+    want = [want.get(i, i) for i in range(100)]
+    got = {r.doc_id: r.component_id for r in s.wide_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert 25 < len(set(want)) < 100
+    assert all(want[i] == want[g] for i, g in got.items())  # nothing below the threshold is linked
