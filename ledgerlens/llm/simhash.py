@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil, comb, log2
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,10 @@ from ledgerlens.llm.common import by_size, components, cut, maybe_broadcast, tab
 SEED = 42
 HOT = 20_000  # rows of a bucket above which it is dealt anew
 LINK_SCHEMA = "a long, b long"
+BITS = 512  # of a wide fingerprint
+BANDS, ROWS = 12, 3  # a pair of Jaccard s shares a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9998 at 0.8
+SLACK = 6  # standard deviations that the Hamming distance of a pair at the threshold may exceed its mean by
+_ODD = np.random.default_rng(SEED).integers(1, 1 << 62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -96,15 +100,29 @@ def narrow_keys(blocks: list[tuple[int, int]], take: int):
     return keys
 
 
-def wide_keys(width: int, blocks: int):
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = np.unpackbits(np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1, bitorder="little") if batch.num_rows else np.zeros((0, width * blocks), np.uint8)
-            for k in range(blocks):
-                part = bits[:, k * width : (k + 1) * width].astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
-                yield pa.record_batch({"key": (np.int64(k) << np.int64(40)) | part, "node": batch.column("node"), "fp": batch.column("fp")})
+def bands(h: np.ndarray) -> np.ndarray:
+    """The keys of a shingle set: of each band ``ROWS`` min-hashes, mixed. No shingle: no keys."""
+    if not len(h):
+        return np.zeros(0, np.int64)
+    low = np.array([_mixed(h, k).min() for k in range(BANDS * ROWS)], np.uint64).reshape(BANDS, ROWS)
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for r in range(ROWS):
+        key = _mixed(key ^ low[:, r], r)
+    return key.view(np.int64)
 
-    return keys
+
+def _mixed(x: np.ndarray, k: int) -> np.ndarray:
+    x = x * _ODD[k]
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in (batch.slice(at, 2000) for at in range(0, batch.num_rows, 2000)):
+            keys = part.column("bands").to_pylist()
+            at = np.repeat(np.arange(part.num_rows), [len(x) // 8 for x in keys])
+            yield pa.record_batch({"key": np.frombuffer(b"".join(keys), np.int64), "node": part.column("node").take(pa.array(at)), "fp": part.column("fp").take(pa.array(at))})
 
 
 def sub_keys(parts: int):
@@ -307,33 +325,31 @@ def exact_links(nodes: DataFrame, keys, distance: int, check) -> DataFrame:
     return good.unionByName(check(cut(more)))
 
 
-def wide_components(docs: DataFrame, size: int = 5, similarity: float = 0.8, blocks: int = 32) -> DataFrame:
+def wide_components(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, key (xxhash64 of the text), node and component_id of each row: components of the pairs whose sets of
     shingles have at least that Jaccard similarity.
 
-    Equal sets are one node. Candidates share a block of their wide fingerprints and are near by Hamming distance; a set
-    pair of Jaccard s has cosine c = 2s / (1 + s), and its fingerprints differ in a share arccos(c) / pi of their bits.
-    The exact similarity of the sets decides, so no pair below the threshold is linked.
+    Equal sets are one node. Candidates share a band of min-hashes, whose number and width do not depend on the table's
+    size, so neither does the share of pairs found: blocks of fingerprint bits would have to become wider and more with
+    it. Inside a bucket the Hamming distance of wide fingerprints sorts out what is far: a set pair of Jaccard s has
+    cosine c = 2s / (1 + s), and its fingerprints differ in a share arccos(c) / pi of their bits (0.15 at s = 0.8) with a
+    binomial spread, of which ``SLACK`` deviations are allowed. The exact similarity of the sets then decides.
     """
-    cosine = 2 * similarity / (1 + similarity)
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    distance = int(BITS * share + SLACK * (BITS * share * (1 - share)) ** 0.5)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
-    rows = docs.agg(F.count("*")).first()[0]
-    width = max(12, ceil(log2(max(rows, 2))) - 2)
-    bits = width * blocks
-    bits += -bits % 64
-    distance = int(bits * np.arccos(cosine) / np.pi)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signs = sign_table(bits)
+        signs = sign_table(BITS)
         for batch in batches:
             for part in by_size(batch, "text", 500):
                 sets = [shingle_set(t, size) for t in part.column("text").to_pylist()]
                 node = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "key": part.column("key"), "node": node, "fp": pa.array(wide_fingerprints(sets, signs), pa.binary())})
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "key": part.column("key"), "node": node, "fp": pa.array(wide_fingerprints(sets, signs), pa.binary()), "bands": pa.array([bands(x).tobytes() for x in sets], pa.binary())})
 
-    prints = cut(docs.mapInArrow(run, "doc_id long, key long, node long, fp binary"))
-    nodes = cut(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("key").alias("key")))
-    links = exact_links(nodes.select("node", "fp"), wide_keys(width, blocks), distance, lambda x: similar(docs.select("key", "text"), nodes, x, size, similarity))
+    prints = cut(docs.mapInArrow(run, "doc_id long, key long, node long, fp binary, bands binary"))
+    nodes = cut(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands"), F.min("key").alias("key")))
+    links = exact_links(nodes.select("node", "bands", "fp"), band_keys, distance, lambda x: similar(docs.select("key", "text"), nodes, x, size, similarity))
     return grouped(prints.select("doc_id", "key", "node"), links, "node")
 
 

@@ -126,3 +126,21 @@ def test_only_pairs_at_the_threshold_are_linked(spark):
     got = {r.doc_id: r.component_id for r in s.wide_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert 25 < len(set(want)) < 100
     assert all(want[i] == want[g] for i, g in got.items())  # nothing below the threshold is linked
+    assert [got[i] for i in range(100)] == want
+
+
+def test_pairs_just_above_the_threshold_are_found(spark):
+    rng = np.random.default_rng(8)
+    texts = []
+    for k in range(150):
+        w = [f"{k}v{x}" for x in rng.integers(0, 9000, 504)]
+        v = list(w)
+        for p in range(0, 11):
+            v[20 + 40 * p] = "changed"
+        texts += [" ".join(w), " ".join(v)]
+    texts += ["a b c d e f g h", "a b c d e f g h i", "A B  c d e f g h I", "a b c d"]
+    assert all(0.8 <= jaccard(texts[2 * k], texts[2 * k + 1]) < 0.81 for k in range(150))
+    out = {r.doc_id: r.component_id for r in s.wide_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [out[300 + i] for i in range(4)] == [300, 300, 300, 303]
+    assert sum(out[2 * k + 1] == 2 * k for k in range(150)) >= 149
+    assert all(out[2 * k] == 2 * k for k in range(150))
