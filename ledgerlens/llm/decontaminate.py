@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import cut, maybe_broadcast, table
 
 WINDOW = 8  # template tokens of a window
-NEED = 13  # item tokens that matching windows must cover (all of a shorter item)
-LITERALS = 5  # windows need as many tokens that are no placeholders; items with fewer match nothing
+NEED = 13  # item tokens that matching windows must cover (all of a shorter item, all that its windows can cover)
+LITERALS = 5  # windows need as many tokens that are no placeholders; items without such a window match as a whole
 
 NUM, NAME, UNIT = "\ue001", "\ue002", "\ue003"  # private-use signs; those of the texts count as white space
 SPACE_RE = r"[\s\ue001-\ue003]+"
@@ -57,33 +57,44 @@ def _value(tokens: Column, values: Column, at: Column) -> Column:
     return F.trim(F.lower(F.try_element_at(kinds, nth)))
 
 
-def _windows(tokens: Column, size: int) -> Column:
+def _windows(tokens: Column, size: int | Column) -> Column:
     last = F.size(tokens) - size
     made = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(tokens, i + 1, size)).alias("h"), F.lit(size).alias("s")))
     return F.when(last >= 0, made).otherwise(F.array().cast("array<struct<at:int,h:bigint,s:int>>"))
 
 
+def _covered(at: Column, size: Column) -> Column:
+    """Aggregate: the number of places that windows cover."""
+    return F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence(at, at + size - 1)))))
+
+
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(key, item_id, n_tokens, coverage, kind) of each text, by key = xxhash64(text), and item that it holds."""
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), template(F.col("text")).alias("tokens"), slots(F.col("text")).alias("values"))
-    items = cut(items.withColumn("n", F.size("tokens")).where(F.size(F.filter("tokens", lambda w: ~w.isin(NUM, NAME, UNIT))) >= LITERALS).dropDuplicates(["item_id"]))
-    sizes = sorted(r["s"] for r in items.select(F.least("n", F.lit(WINDOW)).alias("s")).distinct().collect())
+    literals = lambda tokens: F.size(F.filter(tokens, lambda w: ~w.isin(NUM, NAME, UNIT)))
+    items = items.withColumns({"n": F.size("tokens"), "few": literals("tokens") < LITERALS})
+    items = cut(items.where((F.col("n") >= WINDOW) | ~F.col("few")).dropDuplicates(["item_id"]))
+
+    # items shorter than a window are one window of their own length
+    size = F.least("n", F.lit(WINDOW))
+    rows = items.select("item_id", "n", "tokens", F.explode(_windows(F.col("tokens"), size)).alias("w"))
+    rows = rows.where(literals(F.slice("tokens", F.col("w.at") + 1, F.col("w.s"))) >= LITERALS)
+    rows = rows.select("item_id", "n", F.col("w.s").alias("size"), F.col("w.at").alias("item_at"), F.col("w.h").alias("item_h"))
+    reach = rows.groupBy("item_id").agg(_covered(F.col("item_at"), F.col("size")).alias("need"))
+    rows = rows.join(reach, "item_id").withColumn("few", F.lit(False))
+    # placeholder-rich items without a window: the whole template; with few literals the values must be the same
+    whole = items.join(reach, "item_id", "left_anti").select("item_id", "n", F.col("n").alias("size"), F.lit(0).alias("item_at"), F.xxhash64("tokens").alias("item_h"), F.col("n").alias("need"), "few")
+    wanted = cut(rows.unionByName(whole).withColumn("need", F.least("need", "n", F.lit(NEED))))
+    sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())
     if not sizes:
         return docs.sparkSession.createDataFrame([], "key long, item_id long, n_tokens long, coverage double, kind string")
 
-    rows = items.select("item_id", "n", "tokens", F.explode(_windows(F.col("tokens"), WINDOW)).alias("w"), F.lit(WINDOW).alias("size"))
-    for s in sizes:
-        if s < WINDOW:  # items shorter than a window are one window of their own length
-            rows = rows.unionByName(items.where(F.col("n") == s).select("item_id", "n", "tokens", F.explode(_windows(F.col("tokens"), s)).alias("w"), F.lit(s).alias("size")))
-    literal = F.size(F.filter(F.slice("tokens", F.col("w.at") + 1, F.col("size")), lambda w: ~w.isin(NUM, NAME, UNIT)))
-    wanted = cut(rows.where(literal >= LITERALS).select("item_id", "n", "size", F.col("w.at").alias("item_at"), F.col("w.h").alias("item_h")))
-
     texts = docs.select(F.xxhash64("text").alias("key"), template(F.col("text")).alias("tokens"))
     all_windows = F.concat(*[_windows(F.col("tokens"), s) for s in sizes])
     seen = texts.select("key", F.explode(all_windows).alias("w")).select("key", F.col("w.at").alias("at"), F.col("w.h").alias("h"), F.col("w.s").alias("s"))
     n_windows = wanted.count()
     hits = seen.join(maybe_broadcast(wanted, n_windows), (F.col("h") == F.col("item_h")) & (F.col("s") == F.col("size")))
-    hits = cut(hits.select("key", "item_id", "n", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
+    hits = cut(hits.select("key", "item_id", "n", "need", "few", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
 
     # slots of the aligned tokens: read the texts that have hits once more
     marks = items.select(F.col("item_id").alias("m_item"), "tokens", "values", F.posexplode("tokens").alias("place", "token")).where(F.col("token").isin(NUM, NAME, UNIT))
@@ -98,10 +109,10 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     judged = pairs.groupBy("key", "item_id", "shift").agg(F.countDistinct("theirs").alias("a"), F.countDistinct("ours").alias("b"), F.countDistinct("theirs", "ours").alias("c"), F.min(F.col("theirs") == F.col("ours")).alias("same"))
     judged = judged.select(F.col("key").alias("j_key"), F.col("item_id").alias("j_item"), F.col("shift").alias("j_shift"), ((F.col("a") == F.col("b")) & (F.col("b") == F.col("c"))).alias("consistent"), "same")
 
-    kept = hits.join(judged, (F.col("key") == F.col("j_key")) & (F.col("item_id") == F.col("j_item")) & (F.col("shift") == F.col("j_shift")), "left").where("consistent or consistent is null")
-    covered = F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)))))
-    out = kept.groupBy("key", "item_id").agg(covered.cast("long").alias("n_tokens"), F.max("n").alias("n"), F.min(F.coalesce("same", F.lit(True))).alias("same"))
-    out = out.where(F.col("n_tokens") >= F.least("n", F.lit(NEED)))
+    kept = hits.join(judged, (F.col("key") == F.col("j_key")) & (F.col("item_id") == F.col("j_item")) & (F.col("shift") == F.col("j_shift")), "left").where("(consistent or consistent is null) and (not few or same)")
+    covered = _covered(F.col("item_at"), F.col("size"))
+    out = kept.groupBy("key", "item_id").agg(covered.cast("long").alias("n_tokens"), F.max("n").alias("n"), F.max("need").alias("need"), F.min(F.coalesce("same", F.lit(True))).alias("same"))
+    out = out.where(F.col("n_tokens") >= F.col("need"))
     return cut(out.select("key", "item_id", "n_tokens", (F.col("n_tokens") / F.col("n")).alias("coverage"), F.when(F.col("same"), "verbatim").otherwise("re-parameterised").alias("kind")))
 
 
@@ -110,7 +121,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     matching windows cover), coverage and kind.
 
     Null and empty texts hold nothing, nor do items whose text is null or has fewer than five words besides
-    placeholders. Equal texts are judged once and every row of them is reported, those with a null doc_id too.
+    placeholders and fewer than eight with them. Only windows with five words besides placeholders are searched, and no
+    more is asked than they can cover; items without such a window are found as a whole, those with fewer than five
+    words besides placeholders only with the same values. Equal texts are judged once and every row of them is reported, those with a null doc_id too.
     Repeated item_ids count once; null item_ids and other columns are not read. Empty tables give no rows.
     """
     found = contaminated_texts(docs, benchmark)

@@ -93,3 +93,11 @@ def test_no_python_in_the_plan(spark):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     plan = d.contamination(docs, bench)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_items_rich_in_placeholders(spark):
+    items = [(1, "What is 12 plus 5 times 3 minus 7?"), (2, "If 3 x + 4 y = 10 and 2 x - 5 y = 7, find x and y."), (3, "add 1, 2, 3 to 4, 5, 6 or 7, 8, 9 then halve 10, 11, 12 again"), (4, "1 and 2 and 3, 4, 5, 6, 7")]
+    docs = [(i, f"Some words before that: {t} And some after it.") for i, t in items]
+    docs += [(11, "so what is 30 plus 8 times 4 minus 9 then"), (12, docs[1][1].replace("= 7", "= 9")), (13, "add 21, 22, 23 to 24, 25, 26 or 27, 28, 29 then halve 30, 31, 32 again"), (14, "1 and 2 and 3, 4, 5, 6, 8"), (15, "add 1, 2, 3 to 4, 5, 6 or 7, 8, 9 then double 10, 11, 12 again")]
+    got = {(r.doc_id, r.item_id, r.kind) for r in d.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, i, "verbatim") for i in (1, 2, 3, 4)} | {(10 + i, i, "re-parameterised") for i in (1, 2, 3)}
