@@ -15,7 +15,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import by_size, components, cut, maybe_broadcast, table
@@ -325,9 +325,9 @@ def exact_links(nodes: DataFrame, keys, distance: int, check) -> DataFrame:
     return good.unionByName(check(cut(more)))
 
 
-def wide_components(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, key (xxhash64 of the text), node and component_id of each row: components of the pairs whose sets of
-    shingles have at least that Jaccard similarity.
+def wide_links(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, row, node) of each row, key and row being hashes of the text and of all columns, and the links
+    (a, b) of nodes whose sets of shingles have at least that Jaccard similarity.
 
     Equal sets are one node. Candidates share a band of min-hashes, whose number and width do not depend on the table's
     size, so neither does the share of pairs found: blocks of fingerprint bits would have to become wider and more with
@@ -337,7 +337,7 @@ def wide_components(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     """
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     distance = int(BITS * share + SLACK * (BITS * share * (1 - share)) ** 0.5)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), row_hash(docs).alias("row"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs = sign_table(BITS)
@@ -345,23 +345,49 @@ def wide_components(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
             for part in by_size(batch, "text", 500):
                 sets = [shingle_set(t, size) for t in part.column("text").to_pylist()]
                 node = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "key": part.column("key"), "node": node, "fp": pa.array(wide_fingerprints(sets, signs), pa.binary()), "bands": pa.array([bands(x).tobytes() for x in sets], pa.binary())})
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "key": part.column("key"), "row": part.column("row"), "node": node, "fp": pa.array(wide_fingerprints(sets, signs), pa.binary()), "bands": pa.array([bands(x).tobytes() for x in sets], pa.binary())})
 
-    prints = cut(docs.mapInArrow(run, "doc_id long, key long, node long, fp binary, bands binary"))
+    prints = cut(docs.mapInArrow(run, "doc_id long, key long, row long, node long, fp binary, bands binary"))
     nodes = cut(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands"), F.min("key").alias("key")))
     links = exact_links(nodes.select("node", "bands", "fp"), band_keys, distance, lambda x: similar(docs.select("key", "text"), nodes, x, size, similarity))
-    return grouped(prints.select("doc_id", "key", "node"), links, "node")
+    return prints.select("doc_id", "key", "row", "node"), links
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of a row and of which of them are null."""
+    return F.xxhash64(*(docs[c] for c in docs.columns), *(docs[c].isNull() for c in docs.columns))
+
+
+def wide_components(docs: DataFrame) -> DataFrame:
+    """doc_id, node and component_id of each row by ``wide_links``."""
+    prints, links = wide_links(docs)
+    return grouped(prints.select("doc_id", "node"), links, "node")
 
 
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near copies the document with the smallest doc_id stays.
+    """Pipeline stage: of each group of near copies one row stays, that with the smallest doc_id (null ids last), then the
+    smallest hash of the text and of the row.
 
-    Documents without a word (null, empty, white space) are one group. Rows of equal doc_id, or of null doc_id in a
-    group without any other, are reduced to one row each.
+    Groups are those of the texts, whatever their doc_ids: rows that share a doc_id, or have none, stay where their
+    texts are in different groups. Documents without a word (null, empty, white space) are one group.
     """
-    found = wide_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    first = docs.dropDuplicates(["doc_id"])
-    return first.join(found, first["doc_id"].eqNullSafe(found["_keep"]), "left_semi").select(docs.columns)
+    prints, links = wide_links(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "row")).alias("first")
+    tops = prints.groupBy("node").agg(first)
+    roots = components(links).select(F.col("node").alias("r_node"), "root")
+    tops = tops.join(roots, F.col("node") == F.col("r_node"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    kept = cut(tops.select(F.col("first.row").alias("row")))
+    rows = prints.groupBy("row").count()
+    gone = cut(rows.join(kept, "row", "left_anti").select(F.col("row").alias("_row")))
+    out = docs.join(maybe_broadcast(gone, gone.count()), row_hash(docs) == F.col("_row"), "left_anti")
+    # rows that are equal in every column
+    twice = cut(rows.where("count > 1").join(kept, "row", "left_semi").select(F.col("row").alias("_row")))
+    n_twice = twice.count()
+    if not n_twice:
+        return out
+    twice = maybe_broadcast(twice, n_twice)
+    single = out.join(twice, row_hash(out) == F.col("_row"), "left_anti")
+    return single.unionByName(out.join(twice, row_hash(out) == F.col("_row"), "left_semi").dropDuplicates())
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

@@ -144,3 +144,12 @@ def test_pairs_just_above_the_threshold_are_found(spark):
     assert [out[300 + i] for i in range(4)] == [300, 300, 300, 303]
     assert sum(out[2 * k + 1] == 2 * k for k in range(150)) >= 149
     assert all(out[2 * k] == 2 * k for k in range(150))
+
+
+def test_near_dedup_keeps_a_row_of_each_group_whatever_the_ids(spark):
+    rng = np.random.default_rng(9)
+    a, b, c, d, e = (" ".join(f"{k}w{x}" for x in rng.integers(0, 4000, 200)) for k in range(5))
+    rows = [(None, a, "x"), (None, b, "x"), (None, a + " more", "x"), (7, c, "x"), (7, d, "x"), (7, d, "x"), (8, d, "x"), (5, e, None), (5, e, "y"), (None, None, "x"), (9, " ", "x")]
+    out = s.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()
+    assert len(out) == 6
+    assert {(r.doc_id, r.text) for r in out} in ({(None, x), (None, b), (7, c), (7, d), (5, e), (9, " ")} for x in (a, a + " more"))
