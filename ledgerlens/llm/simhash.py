@@ -170,10 +170,24 @@ def across(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return out
 
 
-def bucket_links(distance: int, cross: bool = False):
+def nearest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """Of each row the nearest one within ``distance`` bits whose last word differs: at most one pair a row."""
+    out = []
+    if (fps[:, -1] == fps[0, -1]).all():
+        return out
+    for i in range(len(fps)):
+        far = np.bitwise_count(fps[:, :-1] ^ fps[i, :-1]).sum(axis=1, dtype=np.int64)
+        far[fps[:, -1] == fps[i, -1]] = distance + 1
+        at = int(far.argmin())
+        if far[at] <= distance:
+            out.append((i, at))
+    return out
+
+
+def bucket_links(distance: int, cross: str = ""):
     """Over partitions sorted by key: the links of each bucket; buckets may span batches. ``cross``: instead of a forest
-    all pairs of rows whose components, the last words of fp, differ."""
-    pairs_of = across if cross else forest
+    pairs of rows whose components, the last words of fp, differ: of each row the nearest one, or all."""
+    pairs_of = {"": forest, "nearest": nearest, "all": across}[cross]
 
     def rows(node: np.ndarray, fps: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch | None:
         lo, hi = cuts[:-1], cuts[1:]
@@ -211,9 +225,9 @@ def bucket_links(distance: int, cross: bool = False):
     return links
 
 
-def links_of(nodes: DataFrame, keys, distance: int, hot: int = HOT, cross: bool = False) -> DataFrame:
+def links_of(nodes: DataFrame, keys, distance: int, hot: int = HOT, cross: str = "") -> DataFrame:
     """Links (a, b) whose components are those of all pairs within ``distance``; nodes: (node long, fp binary).
-    ``cross``: all pairs of different components, which are the last words of fp."""
+    ``cross``: pairs of different components, which are the last words of fp."""
     keyed = nodes.mapInArrow(keys, "key long, node long, fp binary")
     sizes = keyed.groupBy("key").count().where(F.col("count") > hot).select("key")
     n_hot = sizes.count()
@@ -300,29 +314,38 @@ def similar(docs: DataFrame, nodes: DataFrame, links: DataFrame, size: int, simi
 def exact_links(nodes: DataFrame, keys, distance: int, check) -> DataFrame:
     """Links (a, b) that pass ``check``, with the components of all pairs that share a key, are within ``distance`` and pass.
 
-    The buckets' forests are checked first. Where that broke a group into several components, all its pairs between
-    two of them are checked as well; pairs inside a component cannot change it.
+    The buckets' forests are checked first. Where that broke a group into several components, each row's nearest one of
+    another component is checked for as long as that joins some; then all pairs between two components that are left.
+    Pairs inside a component cannot change it.
     """
     links = cut(links_of(nodes, keys, distance).distinct())
     good = cut(check(links))
-    if good.count() == links.count():
+    n_good = good.count()
+    if n_good == links.count():
         return good
-    firm = components(good).select(F.col("node").alias("f_node"), F.col("root").alias("firm"))
-    parts = cut(components(links).join(firm, F.col("node") == F.col("f_node"), "left").select(F.col("node").alias("p_node"), "root", F.coalesce("firm", "node").alias("firm")))
-    broken = parts.groupBy("root").agg(F.min("firm").alias("lo"), F.max("firm").alias("hi")).where("lo < hi").select("root")
-    parts = parts.join(broken, "root", "left_semi")
+    loose = cut(components(links).select(F.col("node").alias("p_node"), F.col("root").alias("loose")))
+    columns = [c for c in nodes.columns if c != "fp"]
+    schema = ", ".join(f"{c} {dict(nodes.dtypes)[c]}" for c in [*columns, "fp"])
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             firm = batch.column("firm").to_numpy().astype("<i8")
             fp = [x + r.tobytes() for x, r in zip(batch.column("fp").to_pylist(), firm)]
-            yield batch.select(again_columns[:-1]).append_column("fp", pa.array(fp, pa.binary()))
-
-    again_columns = [c for c in nodes.columns if c != "fp"] + ["fp"]
-    schema = ", ".join(f"{c} {dict(nodes.dtypes)[c]}" for c in again_columns)
-    again = nodes.join(parts, F.col("node") == F.col("p_node")).select(*again_columns, "firm").mapInArrow(tagged, schema)
-    more = links_of(cut(again), keys, distance, cross=True).distinct().join(links, ["a", "b"], "left_anti")
-    return good.unionByName(check(cut(more)))
+            yield batch.select(columns).append_column("fp", pa.array(fp, pa.binary()))
+
+    cross = "nearest"
+    while True:
+        firm = components(good).select(F.col("node").alias("f_node"), F.col("root").alias("firm"))
+        parts = cut(loose.join(firm, F.col("p_node") == F.col("f_node"), "left").select("p_node", "loose", F.coalesce("firm", "p_node").alias("firm")))
+        broken = parts.groupBy("loose").agg(F.min("firm").alias("lo"), F.max("firm").alias("hi")).where("lo < hi").select("loose")
+        again = nodes.join(parts.join(broken, "loose", "left_semi"), F.col("node") == F.col("p_node")).select(*columns, "fp", "firm").mapInArrow(tagged, schema)
+        more = cut(links_of(cut(again), keys, distance, cross=cross).distinct().join(links, ["a", "b"], "left_anti"))
+        good = cut(good.unionByName(check(more)))
+        if cross == "all":
+            return good
+        links, before, n_good = links.unionByName(more), n_good, good.count()
+        if n_good == before:
+            cross = "all"
 
 
 def wide_links(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
