@@ -24,29 +24,44 @@ UNITS = (
     "ml l litre litres liter liters gallon gallons s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
     "percent dollar dollars euro euros cent cents usd eur degrees degree kmh mph watt watts volt volts joule joules newton newtons hz byte bytes kb mb gb"
 ).split()
-NUM_RE = r"[+-]?[0-9]+(?:[.,:/-][0-9]+)*%?"
+#: Possessive repeats (``*+``): the JVM matches them in a loop; others recurse once a repeat and a long list ends the executor.
+NUM_RE = r"[+-]?[0-9]+(?:[.,:/-][0-9]+)*+%?"
 UNIT_RE = rf"(?<={NUM}) ?(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])"
-NAME_RE = r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
+#: Words that are no names where a sentence starts with them.
+STARTERS = (
+    "the a an if in on at of to for from by with and or but so as is are was were be been has have had do does did will would can could may might must "
+    "shall should it its he she they we you his her their our your my this that these those there here what which who whom whose when where why how "
+    "then than not no all any each every some both few many much more most other such only own same let find given after before while during since "
+    "until about between into over under again once suppose assume calculate determine"
+).split()
+NAME_WORD = r"(?=\p{Lu})(?<![\p{L}\p{M}])(?!(?:" + "|".join(sorted({w.capitalize() for w in STARTERS})) + r")(?!\p{L}))\p{Lu}\p{Ll}++(?!\p{L})"
+NAME_RE = rf"{NAME_WORD}(?: {NAME_WORD})*+"
 
 
-def _steps(text: Column) -> tuple[Column, Column, Column]:
+def _steps(text: Column, names: bool = True) -> tuple[Column, Column, Column]:
     """The text with numbers, then units, then names replaced."""
     numbers = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RE, " "), NUM_RE, NUM)
     units = F.regexp_replace(numbers, UNIT_RE, f" {UNIT}")
-    return numbers, units, F.regexp_replace(units, NAME_RE, NAME)
+    return numbers, units, F.regexp_replace(units, NAME_RE, NAME) if names else units
 
 
-def template(text: Column) -> Column:
-    """Lower-cased words and placeholders; punctuation separates."""
-    plain = F.regexp_replace(_steps(text)[2], rf"([{NUM}{NAME}{UNIT}])", " $1 ")
+def template(text: Column, names: bool = True) -> Column:
+    """Lower-cased words and placeholders; punctuation separates. Without ``names`` they stay words."""
+    plain = F.regexp_replace(_steps(text, names)[2], rf"([{NUM}{NAME}{UNIT}])", " $1 ")
     return F.filter(F.split(F.regexp_replace(F.lower(plain), rf"[^\p{{L}}\p{{M}}{NUM}{NAME}{UNIT}]+", " "), " "), lambda w: w != "")
 
 
-def slots(text: Column) -> Column:
+def slots(text: Column, names: bool = True) -> Column:
     """The replaced values in order, by placeholder."""
     squeezed = F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RE, " ")
     numbers, units, _ = _steps(text)
-    return F.struct(F.regexp_extract_all(squeezed, F.lit(NUM_RE), F.lit(0)).alias("num"), F.regexp_extract_all(numbers, F.lit(UNIT_RE), F.lit(0)).alias("unit"), F.regexp_extract_all(units, F.lit(NAME_RE), F.lit(0)).alias("name"))
+    of_names = F.regexp_extract_all(units, F.lit(NAME_RE), F.lit(0)) if names else F.array().cast("array<string>")
+    return F.struct(F.regexp_extract_all(squeezed, F.lit(NUM_RE), F.lit(0)).alias("num"), F.regexp_extract_all(numbers, F.lit(UNIT_RE), F.lit(0)).alias("unit"), of_names.alias("name"))
+
+
+def _text_key() -> Column:
+    """128 bits, so that no two texts of any corpus share a key."""
+    return F.md5(F.coalesce("text", F.lit("")).cast("binary"))
 
 
 def _value(tokens: Column, values: Column, at: Column) -> Column:
@@ -69,51 +84,60 @@ def _covered(at: Column, size: Column) -> Column:
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(key, item_id, n_tokens, coverage, kind) of each text, by key = xxhash64(text), and item that it holds."""
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), template(F.col("text")).alias("tokens"), slots(F.col("text")).alias("values"))
+    """(key, item_id, n_tokens, coverage, kind) of each text, by its ``_text_key``, and item that it holds."""
+    # each item as a template with names, and one without (bare) for verbatim texts in other letter case; ``item`` tells them apart
+    forms = F.explode(F.array(*[F.struct(template(F.col("text"), x).alias("tokens"), slots(F.col("text"), x).alias("values"), F.lit(not x).alias("bare")) for x in (True, False)])).alias("form")
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    items = items.select("item_id", _text_key().alias("text_key"), forms).select("item_id", "form.*", F.md5(F.concat_ws(" ", "item_id", "text_key", F.array_join("form.tokens", " ")).cast("binary")).alias("item"))
     literals = lambda tokens: F.size(F.filter(tokens, lambda w: ~w.isin(NUM, NAME, UNIT)))
-    items = items.withColumns({"n": F.size("tokens"), "few": literals("tokens") < LITERALS})
-    items = cut(items.where((F.col("n") >= WINDOW) | ~F.col("few")).dropDuplicates(["item_id"]))
+    items = items.withColumns({"n": F.size("tokens"), "few": literals("tokens") < LITERALS}).where((F.col("n") >= WINDOW) | ~F.col("few"))
+    # alike: the values of placeholders must be the same, not only consistent
+    items = cut(items.groupBy("item", "item_id", "tokens", "values", "n").agg(F.min(F.col("few") | F.col("bare")).alias("alike")))
 
     # items shorter than a window are one window of their own length
     size = F.least("n", F.lit(WINDOW))
-    rows = items.select("item_id", "n", "tokens", F.explode(_windows(F.col("tokens"), size)).alias("w"))
+    rows = items.select("item", "n", "alike", "tokens", F.explode(_windows(F.col("tokens"), size)).alias("w"))
     rows = rows.where(literals(F.slice("tokens", F.col("w.at") + 1, F.col("w.s"))) >= LITERALS)
-    rows = rows.select("item_id", "n", F.col("w.s").alias("size"), F.col("w.at").alias("item_at"), F.col("w.h").alias("item_h"))
-    reach = rows.groupBy("item_id").agg(_covered(F.col("item_at"), F.col("size")).alias("need"))
-    rows = rows.join(reach, "item_id").withColumn("few", F.lit(False))
+    rows = rows.select("item", "n", "alike", F.col("w.s").alias("size"), F.col("w.at").alias("item_at"), F.col("w.h").alias("item_h"))
+    reach = rows.groupBy("item").agg(_covered(F.col("item_at"), F.col("size")).alias("need"))
+    rows = rows.join(reach, "item")
     # placeholder-rich items without a window: the whole template; with few literals the values must be the same
-    whole = items.join(reach, "item_id", "left_anti").select("item_id", "n", F.col("n").alias("size"), F.lit(0).alias("item_at"), F.xxhash64("tokens").alias("item_h"), F.col("n").alias("need"), "few")
+    whole = items.join(reach, "item", "left_anti").select("item", "n", F.col("n").alias("size"), F.lit(0).alias("item_at"), F.xxhash64("tokens").alias("item_h"), F.col("n").alias("need"), "alike")
     wanted = cut(rows.unionByName(whole).withColumn("need", F.least("need", "n", F.lit(NEED))))
     sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())
     if not sizes:
-        return docs.sparkSession.createDataFrame([], "key long, item_id long, n_tokens long, coverage double, kind string")
+        return docs.sparkSession.createDataFrame([], "key string, item_id long, n_tokens long, coverage double, kind string")
 
-    texts = docs.select(F.xxhash64("text").alias("key"), template(F.col("text")).alias("tokens"))
+    texts = docs.select(_text_key().alias("key"), template(F.col("text")).alias("tokens"))
     all_windows = F.concat(*[_windows(F.col("tokens"), s) for s in sizes])
     seen = texts.select("key", F.explode(all_windows).alias("w")).select("key", F.col("w.at").alias("at"), F.col("w.h").alias("h"), F.col("w.s").alias("s"))
-    n_windows = wanted.count()
-    hits = seen.join(maybe_broadcast(wanted, n_windows), (F.col("h") == F.col("item_h")) & (F.col("s") == F.col("size")))
-    hits = cut(hits.select("key", "item_id", "n", "need", "few", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
+    hits = seen.join(maybe_broadcast(wanted, wanted.count()), (F.col("h") == F.col("item_h")) & (F.col("s") == F.col("size")))
+    hits = cut(hits.select("key", "item", "n", "need", "alike", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
 
     # slots of the aligned tokens: read the texts that have hits once more
-    marks = items.select(F.col("item_id").alias("m_item"), "tokens", "values", F.posexplode("tokens").alias("place", "token")).where(F.col("token").isin(NUM, NAME, UNIT))
-    marks = marks.select("m_item", "place", _value(F.col("tokens"), F.col("values"), F.col("place")).alias("theirs"))
+    marks = items.select(F.col("item").alias("m_item"), "tokens", "values", F.posexplode("tokens").alias("place", "token")).where(F.col("token").isin(NUM, NAME, UNIT))
+    marks = cut(marks.select("m_item", "place", _value(F.col("tokens"), F.col("values"), F.col("place")).alias("theirs")))
     keys = hits.select("key").distinct()
-    n_keys = keys.count()
-    again = docs.select(F.xxhash64("text").alias("key"), "text").join(maybe_broadcast(keys, n_keys), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    again = docs.select(_text_key().alias("key"), "text").join(maybe_broadcast(keys, keys.count()), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     again = again.select("key", template(F.col("text")).alias("tokens"), slots(F.col("text")).alias("values"))
-    placed = hits.join(maybe_broadcast(marks, n_windows), (F.col("item_id") == F.col("m_item")) & F.col("place").between(F.col("item_at"), F.col("item_at") + F.col("size") - 1))
-    placed = placed.select("key", "item_id", "shift", "place", "theirs").distinct()
-    pairs = placed.join(again, "key").select("key", "item_id", "shift", "theirs", _value(F.col("tokens"), F.col("values"), F.col("place") + F.col("shift")).alias("ours"))
-    judged = pairs.groupBy("key", "item_id", "shift").agg(F.countDistinct("theirs").alias("a"), F.countDistinct("ours").alias("b"), F.countDistinct("theirs", "ours").alias("c"), F.min(F.col("theirs") == F.col("ours")).alias("same"))
-    judged = judged.select(F.col("key").alias("j_key"), F.col("item_id").alias("j_item"), F.col("shift").alias("j_shift"), ((F.col("a") == F.col("b")) & (F.col("b") == F.col("c"))).alias("consistent"), "same")
-
-    kept = hits.join(judged, (F.col("key") == F.col("j_key")) & (F.col("item_id") == F.col("j_item")) & (F.col("shift") == F.col("j_shift")), "left").where("(consistent or consistent is null) and (not few or same)")
+    placed = hits.join(maybe_broadcast(marks, marks.count()), (F.col("item") == F.col("m_item")) & F.col("place").between(F.col("item_at"), F.col("item_at") + F.col("size") - 1))
+    placed = placed.select("key", "item", "shift", "place", "theirs").distinct()
+    pairs = placed.join(again, "key").select("key", "item", "shift", "theirs", _value(F.col("tokens"), F.col("values"), F.col("place") + F.col("shift")).alias("ours"))
+    # where a passage begins or ends, a name may run on into its neighbour
+    theirs, ours, gap = F.col("theirs"), F.col("ours"), F.lit(" ")
+    runs_on = ours.endswith(F.concat(gap, theirs)) | ours.startswith(F.concat(theirs, gap)) | theirs.endswith(F.concat(gap, ours)) | theirs.startswith(F.concat(ours, gap))
+    pairs = pairs.withColumn("ours", F.when(runs_on, theirs).otherwise(ours))
+    judged = pairs.groupBy("key", "item", "shift").agg(F.countDistinct("theirs").alias("a"), F.countDistinct("ours").alias("b"), F.countDistinct("theirs", "ours").alias("c"), F.min(F.col("theirs") == F.col("ours")).alias("same"))
+    judged = judged.select(F.col("key").alias("j_key"), F.col("item").alias("j_item"), F.col("shift").alias("j_shift"), ((F.col("a") == F.col("b")) & (F.col("b") == F.col("c"))).alias("consistent"), "same")
+
+    kept = hits.join(judged, (F.col("key") == F.col("j_key")) & (F.col("item") == F.col("j_item")) & (F.col("shift") == F.col("j_shift")), "left").where("(consistent or consistent is null) and (not alike or coalesce(same, true))")
     covered = _covered(F.col("item_at"), F.col("size"))
-    out = kept.groupBy("key", "item_id").agg(covered.cast("long").alias("n_tokens"), F.max("n").alias("n"), F.max("need").alias("need"), F.min(F.coalesce("same", F.lit(True))).alias("same"))
-    out = out.where(F.col("n_tokens") >= F.col("need"))
-    return cut(out.select("key", "item_id", "n_tokens", (F.col("n_tokens") / F.col("n")).alias("coverage"), F.when(F.col("same"), "verbatim").otherwise("re-parameterised").alias("kind")))
+    out = kept.groupBy("key", "item").agg(covered.cast("long").alias("n_tokens"), F.max("n").alias("n"), F.max("need").alias("need"), F.min(F.coalesce("same", F.lit(True))).alias("same"))
+    out = out.where(F.col("n_tokens") >= F.col("need")).withColumn("coverage", F.col("n_tokens") / F.col("n"))
+    # of an item's forms, and of the items with one id, the one best covered
+    best = F.max_by(F.struct("n_tokens", "coverage", "same"), F.struct("coverage", "n_tokens", "same")).alias("b")
+    out = out.join(items.select("item", "item_id"), "item").groupBy("key", "item_id").agg(best)
+    return cut(out.select("key", "item_id", "b.n_tokens", "b.coverage", F.when(F.col("b.same"), "verbatim").otherwise("re-parameterised").alias("kind")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -124,17 +148,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     placeholders and fewer than eight with them. Only windows with five words besides placeholders are searched, and no
     more is asked than they can cover; items without such a window are found as a whole, those with fewer than five
     words besides placeholders only with the same values. Equal texts are judged once and every row of them is reported, those with a null doc_id too.
-    Repeated item_ids count once; null item_ids and other columns are not read. Empty tables give no rows.
+    A text is searched as a template with names and, for texts in other letter case, items also as one without.
+    Repeated items count once, of different items with one id the best covered is reported; null item_ids and other
+    columns are not read. Empty tables give no rows.
     """
     found = contaminated_texts(docs, benchmark)
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("key"))
     return keyed.join(maybe_broadcast(found, found.count()), "key").select("doc_id", "item_id", "n_tokens", "coverage", "kind")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go. Columns and their order stay."""
+    """Pipeline stage: documents that hold a benchmark item go. Columns and their order stay.
+
+    Null and empty texts stay; repeated rows stay or go together; columns of any name may follow; no documents, or an
+    empty benchmark, give the documents as they are.
+    """
     keys = contaminated_texts(docs, table(spark, sf_dir, "benchmark")).select(F.col("key").alias("_key")).distinct()
-    return docs.join(maybe_broadcast(keys, keys.count()), F.xxhash64(docs["text"]) == F.col("_key"), "left_anti")
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), _text_key().alias("_text_key"))
+    return keyed.join(maybe_broadcast(keys, keys.count()), F.col("_text_key") == F.col("_key"), "left_anti").select("_row.*")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

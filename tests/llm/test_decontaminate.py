@@ -101,3 +101,16 @@ def test_items_rich_in_placeholders(spark):
     docs += [(11, "so what is 30 plus 8 times 4 minus 9 then"), (12, docs[1][1].replace("= 7", "= 9")), (13, "add 21, 22, 23 to 24, 25, 26 or 27, 28, 29 then halve 30, 31, 32 again"), (14, "1 and 2 and 3, 4, 5, 6, 8"), (15, "add 1, 2, 3 to 4, 5, 6 or 7, 8, 9 then double 10, 11, 12 again")]
     got = {(r.doc_id, r.item_id, r.kind) for r in d.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == {(i, i, "verbatim") for i in (1, 2, 3, 4)} | {(10 + i, i, "re-parameterised") for i in (1, 2, 3)}
+
+
+def test_long_runs_and_sentence_starts(spark):
+    """Twenty thousand capitalised words, or joined numbers, in a row must not end the JVM."""
+    item = "Alice has 5 apples and then buys 7 more from the shop near her house. Boris eats 2 of them after dinner"
+    other = item.replace("Alice", "Maria").replace("Boris", "Carl").replace(" 5 ", " 9 ").replace(" 7 ", " 8 ")
+    rows = [(1, " ".join(f"Word{'abcdefghij'[i % 10]}" for i in range(20_000))), (2, ",".join(str(i) for i in range(20_000))), (3, "so " + other), (4, item.lower()), (5, item.upper()), (6, "Nora " + item), (7, "Anna Berg " * 20_000 + ". " + item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (1, "quite another item of more than eight plain words under the same id")], "item_id long, text string")
+    got = {(r.doc_id, r.kind) for r in d.contamination(docs, bench).collect()}
+    assert got == {(3, "re-parameterised"), (4, "verbatim"), (5, "verbatim"), (6, "verbatim"), (7, "verbatim")}
+    more = docs.unionByName(spark.createDataFrame([(8, "well, quite another item of more than eight plain words under the same id")], "doc_id long, text string"))
+    assert {r.doc_id for r in d.contamination(more, bench).collect()} == {3, 4, 5, 6, 7, 8}
