@@ -25,8 +25,10 @@ from ledgerlens.llm.common import by_size, maybe_broadcast, new_path, small_batc
 END = 2
 BLOCK_IDS = 1 << 19  # a block closes at so many ids; one longer document makes a block of its own
 BUCKET_DOCS = 20_000
+GROUP = 1024  # buckets whose sums run in one task
 CACHE = 250_000  # distinct words a worker remembers; it forgets all of them beyond
 LONG = 200  # longer words are encoded each time
+SLICE = 4_000_000  # bytes of text that a worker holds as words at a time
 
 FORMAT = "bucket int, block int, doc_ids array<bigint>, n_ids bigint, width int, ids binary, low_bits int, low binary, high binary, samples binary"
 
@@ -184,7 +186,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
         tail = np.array([end], encoder.dtype).tobytes()
         width = len(tail)
         for batch in batches:
-            for part in by_size(batch, "text"):
+            for part in by_size(batch, "text", limit=SLICE):
                 bucket = pa.array([-1 if d is None else int(np.searchsorted(bounds, d, "right")) for d in part.column("doc_id").to_pylist()], pa.int32())
                 ids = pa.array(encoder.batch(part.column("text"), tail), pa.binary())
                 pa.default_memory_pool().release_unused()
@@ -216,14 +218,23 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
     dealt.mapInArrow(pack, FORMAT).write.parquet(path)
 
 
-def decode(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids binary, width) of every document, from the files alone."""
+def _based(blocks: DataFrame) -> DataFrame:
+    """(bucket, block, base: the ids of all blocks before it). Sums run inside groups of buckets; one total a group, of
+    about GROUP * BUCKET_DOCS documents each, comes to the driver."""
+    heads = blocks.select("bucket", "block", "n_ids").withColumn("group", F.floor(F.col("bucket") / GROUP).cast("int"))
+    totals = sorted(tuple(r) for r in heads.groupBy("group").agg(F.sum("n_ids")).collect())
+    before = np.cumsum([0, *(n for _, n in totals)]).tolist()
+    offsets = heads.sparkSession.createDataFrame([(g, n) for (g, _), n in zip(totals, before)], "group int, offset long")
+    order = Window.partitionBy("group").orderBy("bucket", "block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = heads.select("group", "bucket", "block", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("inside"))
+    return inside.join(maybe_broadcast(offsets, len(totals)), "group").select("bucket", "block", (F.col("offset") + F.col("inside")).alias("base"))
+
+
+def _read(spark: SparkSession, path: str, view, schema: str) -> DataFrame:
+    """``view(ids, width)``, columns by name, of the documents of the files, with doc_id and start: one Python pass."""
     small_batches(spark, 2000)
     blocks = spark.read.schema(FORMAT).parquet(path)
-    order = Window.orderBy("bucket", "block").rowsBetween(Window.unboundedPreceding, -1)
-    heads = blocks.select("bucket", "block", "n_ids")  # a few bytes for each million ids
-    heads = heads.select("bucket", "block", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("base"))
-    blocks = blocks.join(maybe_broadcast(heads, blocks.count()), ["bucket", "block"])
+    blocks = blocks.join(maybe_broadcast(_based(blocks), blocks.count()), ["bucket", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,23 +243,27 @@ def decode(spark: SparkSession, path: str) -> DataFrame:
                 docs, ids, width = r["doc_ids"], memoryview(r["ids"]), r["width"]
                 at = EliasFano(len(docs) + 1, r["low_bits"], r["low"], r["high"], r["samples"]).all()
                 for lo in range(0, len(docs), 1000):
-                    some = docs[lo : lo + 1000]
-                    cut = at[lo : lo + 1001]
-                    yield pa.record_batch({"doc_id": pa.array(some, pa.int64()), "start": pa.array(cut[:-1] + r["base"], pa.int64()), "ids": pa.array([ids[a * width : b * width].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()), "width": pa.array([width] * len(some), pa.int32())})
+                    some, cut = docs[lo : lo + 1000], at[lo : lo + 1001]
+                    seen = view([ids[a * width : b * width] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())], width)
+                    yield pa.record_batch({"doc_id": pa.array(some, pa.int64()), "start": pa.array(cut[:-1] + r["base"], pa.int64())} | seen)
+
+    return blocks.mapInArrow(run, f"doc_id long, start long, {schema}")
 
-    return blocks.mapInArrow(run, "doc_id long, start long, ids binary, width int")
 
+def decode(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, ids binary, width) of every document, from the files alone."""
+    view = lambda ids, width: {"ids": pa.array(map(bytes, ids), pa.binary()), "width": pa.array([width] * len(ids), pa.int32())}
+    return _read(spark, path, view, "ids binary, width int")
 
-def digest(stored: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 (of the ids as little-endian unsigned 32-bit integers)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, widths = batch.column("ids").to_pylist(), batch.column("width").to_pylist()
-            crc = [crc32(np.frombuffer(x, f"<u{w}").astype("<u4").tobytes()) for x, w in zip(ids, widths)]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "start": batch.column("start"), "n_tokens": pa.array([len(x) // w for x, w in zip(ids, widths)], pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
+def digest(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 (of the ids as little-endian unsigned 32-bit integers), from the files alone."""
+
+    def view(ids: list[memoryview], width: int) -> dict[str, pa.Array]:
+        crc = [crc32(np.frombuffer(x, f"<u{width}").astype("<u4").tobytes()) for x in ids]
+        return {"n_tokens": pa.array([len(x) // width for x in ids], pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
 
-    return stored.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _read(spark, path, view, "n_tokens long, ids_crc32 long")
 
 
 def token_offsets(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -259,7 +274,7 @@ def token_offsets(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     path = new_path(docs.sparkSession, "tokens")
     encode(docs, path, tokenizer)
-    return digest(decode(docs.sparkSession, path))
+    return digest(docs.sparkSession, path)
 
 
 def default_tokenizer() -> str:
