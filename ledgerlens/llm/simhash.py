@@ -3,7 +3,8 @@
 Fingerprints that differ in few bits must agree on whole blocks, so links are sought only between fingerprints that
 share a block key. Exact copies collapse to one fingerprint before anything is shuffled, and each bucket returns a
 spanning forest of its links (at most one row less than it has members), never all its pairs; the components are
-the same. A bucket above ``HOT`` rows is dealt anew by blocks of the bits it has not used yet, which loses no link.
+the same. Of a bucket above ``HOT`` rows every row is compared with the bucket's smallest; only rows far from that one
+meet the others, tile by tile (``tiled``), so that a group of any size needs no large task and loses no link.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import by_size, components, cut, maybe_broadcast, table
 
 SEED = 42
-HOT = 20_000  # rows of a bucket above which it is dealt anew
+HOT = 20_000  # rows of a bucket above which it is tiled, and rows of a tile
+TILE = 8_000_000  # bytes of shingle sets in a tile
 LINK_SCHEMA = "a long, b long"
 BITS = 512  # of a wide fingerprint
 BANDS, ROWS = 12, 3  # a pair of Jaccard s shares a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9998 at 0.8
@@ -125,25 +127,6 @@ def band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"key": np.frombuffer(b"".join(keys), np.int64), "node": part.column("node").take(pa.array(at)), "fp": part.column("fp").take(pa.array(at))})
 
 
-def sub_keys(parts: int):
-    """Keys for the rows of hot buckets: the old key with one of ``parts`` blocks; ``parts`` exceeds the distance."""
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            old = batch.column("key").to_numpy().view(np.uint64)
-            bits = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            bits = np.unpackbits(bits, axis=1, bitorder="little")
-            edges = [round(bits.shape[1] * i / parts) for i in range(parts + 1)]
-            for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
-                piece = np.packbits(bits[:, lo:hi], axis=1)
-                key = [xxhash.xxh64_intdigest(o.tobytes() + bytes([k]) + p.tobytes(), SEED) for o, p in zip(old, piece)]
-                yield pa.record_batch({"key": np.array(key, np.uint64).view(np.int64), "node": batch.column("node"), "fp": batch.column("fp")})
-
-    return keys
-
-
 # ---------------------------------------------------------------- links inside buckets
 def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """A spanning forest of the graph that links rows within ``distance`` bits (fps: rows x 64-bit words)."""
@@ -161,82 +144,94 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return out
 
 
-def across(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """All pairs within ``distance`` bits whose last words differ."""
-    out = []
-    for i in range(len(fps) - 1):
-        near = (np.bitwise_count(fps[i + 1 :, :-1] ^ fps[i, :-1]).sum(axis=1) <= distance) & (fps[i + 1 :, -1] != fps[i, -1])
-        out += [(i, i + 1 + x) for x in np.flatnonzero(near)]
-    return out
-
-
-def nearest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Of each row the nearest one within ``distance`` bits whose last word differs: at most one pair a row."""
-    out = []
-    if (fps[:, -1] == fps[0, -1]).all():
-        return out
-    for i in range(len(fps)):
-        far = np.bitwise_count(fps[:, :-1] ^ fps[i, :-1]).sum(axis=1, dtype=np.int64)
-        far[fps[:, -1] == fps[i, -1]] = distance + 1
-        at = int(far.argmin())
-        if far[at] <= distance:
-            out.append((i, at))
-    return out
-
-
-def bucket_links(distance: int, cross: str = ""):
-    """Over partitions sorted by key: the links of each bucket; buckets may span batches. ``cross``: instead of a forest
-    pairs of rows whose components, the last words of fp, differ: of each row the nearest one, or all."""
-    pairs_of = {"": forest, "nearest": nearest, "all": across}[cross]
-
-    def rows(node: np.ndarray, fps: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch | None:
-        lo, hi = cuts[:-1], cuts[1:]
-        two = lo[hi - lo == 2]
-        if cross:
-            two = two[fps[two, -1] != fps[two + 1, -1]]
-        words = fps[:, :-1] if cross else fps
-        near = two[np.bitwise_count(words[two] ^ words[two + 1]).sum(axis=1) <= distance]
-        a, b = [node[near]], [node[near + 1]]
-        for i in np.flatnonzero(hi - lo > 2):
-            pairs = np.array(pairs_of(fps[lo[i] : hi[i]], distance), np.int64).reshape(-1, 2) + lo[i]
-            a.append(node[pairs[:, 0]])
-            b.append(node[pairs[:, 1]])
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def grouped_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of rows that are sorted by ``key``, with the places where a group begins, and the end; groups may span
+    batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key")
+        held.append(batch)
+        if key[0] == key[-1] and held[0].column("key")[0] == key[0]:
+            continue
+        rows = pa.Table.from_batches(held)
+        keys = rows.column("key").to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+        yield rows.slice(0, int(cuts[-1])), cuts
+        held = rows.slice(int(cuts[-1])).to_batches()
+    if held:
+        rows = pa.Table.from_batches(held)
+        keys = rows.column("key").to_numpy()
+        yield rows, np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+
+
+def _words(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("fp").to_pylist()), "<u8").reshape(rows.num_rows, -1)
+
+
+def bucket_links(distance: int):
+    """Over partitions sorted by key: a spanning forest of the links of each bucket."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fps = np.frombuffer(b"".join(batch.column("fp").to_pylist()), "<u8").reshape(batch.num_rows, -1)
-            part = batch.column("key").to_numpy(), batch.column("node").to_numpy(), fps
-            if part[0][0] == part[0][-1] and (not held or held[-1][0][-1] == part[0][0]):
-                held.append(part)
-                continue
-            key, node, fps = (np.concatenate(x) for x in zip(*held, part)) if held else part
-            cuts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
-            yield rows(node, fps, cuts)
-            held = [(key[cuts[-1] :], node[cuts[-1] :], fps[cuts[-1] :])]
-        if held:
-            key, node, fps = (np.concatenate(x) for x in zip(*held))
-            yield rows(node, fps, np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)])))
+        for rows, cuts in grouped_rows(batches):
+            node, fps = rows.column("node").to_numpy(), _words(rows)
+            lo, hi = cuts[:-1], cuts[1:]
+            two = lo[hi - lo == 2]
+            near = two[np.bitwise_count(fps[two] ^ fps[two + 1]).sum(axis=1) <= distance]
+            a, b = [node[near]], [node[near + 1]]
+            for i in np.flatnonzero(hi - lo > 2):
+                pairs = np.array(forest(fps[lo[i] : hi[i]], distance), np.int64).reshape(-1, 2) + lo[i]
+                a.append(node[pairs[:, 0]])
+                b.append(node[pairs[:, 1]])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return links
 
 
-def links_of(nodes: DataFrame, keys, distance: int, hot: int = HOT, cross: str = "") -> DataFrame:
-    """Links (a, b) whose components are those of all pairs within ``distance``; nodes: (node long, fp binary).
-    ``cross``: pairs of different components, which are the last words of fp."""
+def tiled(rows: DataFrame, weight: Column, bound: int) -> DataFrame:
+    """Deals the rows of each group ``key`` over tiles, which become the key: every far row meets every other row of its
+    group in a tile; two near rows need not meet. A tile holds two shares of about ``bound``. Groups without far rows go.
+    """
+    share = lambda far: F.ceil(F.sum(F.when(F.col("far") == far, weight).otherwise(0)) / bound).cast("int")
+    sizes = cut(rows.groupBy("key").agg(share(False).alias("nears"), share(True).alias("fars")).where("fars > 0"))
+    dealt = rows.join(maybe_broadcast(sizes, sizes.count()), "key")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.greatest(F.when(F.col("far"), F.col("fars")).otherwise(F.col("nears")), F.lit(1))).cast("int")
+    dealt = dealt.withColumn("own", own)
+    place = lambda kind, i, j: F.xxhash64(F.lit(kind), "key", i, j)
+    upto = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f)).otherwise(F.array().cast("array<bigint>"))
+    me = F.col("own")
+    of_far = F.concat(upto(F.col("nears"), lambda i: place("near", me, i)), upto(F.col("fars"), lambda i: place("far", F.least(me, i), F.greatest(me, i))))
+    tiles = F.when(F.col("far"), of_far).otherwise(upto(F.col("fars"), lambda i: place("near", i, me)))
+    return dealt.withColumn("key", F.explode(tiles)).drop("own", "nears", "fars")
+
+
+def links_of(nodes: DataFrame, keys, distance: int, hot: int = HOT) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs within ``distance``; nodes: (node long, fp binary)."""
     keyed = nodes.mapInArrow(keys, "key long, node long, fp binary")
-    sizes = keyed.groupBy("key").count().where(F.col("count") > hot).select("key")
-    n_hot = sizes.count()
-    if n_hot:
-        sizes = maybe_broadcast(cut(sizes), n_hot)
-        again = keyed.join(sizes, "key", "left_semi").select("key", "node", "fp").mapInArrow(sub_keys(distance + 1), "key long, node long, fp binary")
-        keyed = keyed.join(sizes, "key", "left_anti").select("key", "node", "fp").unionByName(again)
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(bucket_links(distance, cross), LINK_SCHEMA)
+    linked = lambda rows: rows.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(bucket_links(distance), LINK_SCHEMA)
+    sizes = keyed.groupBy("key").count().where(F.col("count") > hot).select(F.col("key").alias("h_key"))
+    n_hot = sizes.count()
+    if not n_hot:
+        return linked(keyed)
+    sizes = maybe_broadcast(cut(sizes), n_hot)
+    rest = keyed.join(sizes, F.col("key") == F.col("h_key"), "left_anti")
+    large = cut(keyed.join(sizes, F.col("key") == F.col("h_key"), "left_semi").distinct())
+    hubs = large.groupBy(F.col("key").alias("h_key")).agg(F.min(F.struct("node", "fp")).alias("hub"))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                mine, hub = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(batch.num_rows, -1) for c in ("fp", "h_fp"))
+                far = np.bitwise_count(mine ^ hub).sum(axis=1) > distance
+                yield pa.record_batch({"key": batch.column("key"), "node": batch.column("node"), "fp": batch.column("fp"), "hub": batch.column("h_node"), "far": far})
+
+    large = large.join(maybe_broadcast(hubs, n_hot), F.col("key") == F.col("h_key")).select("key", "node", "fp", F.col("hub.node").alias("h_node"), F.col("hub.fp").alias("h_fp"))
+    large = cut(large.mapInArrow(measured, "key long, node long, fp binary, hub long, far boolean"))
+    to_hub = large.where("not far and node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    return linked(rest).unionByName(to_hub).unionByName(linked(tiled(large.drop("hub"), F.lit(1), hot).select("key", "node", "fp")))
 
 
 # ---------------------------------------------------------------- operators
@@ -282,11 +277,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"node": node, "fp": pa.array([x.tobytes() for x in node.astype("<i8")], pa.binary())})
 
 
-def similar(docs: DataFrame, nodes: DataFrame, links: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The links (a, b) whose shingle sets have a Jaccard similarity of at least ``similarity``, counted exactly.
-
-    docs: (key, text); nodes: (node, key) with the key of a text that has the node's set. Texts without links are not hashed.
-    """
+def shingle_sets(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, s: the sorted set of shingle hashes) of each node(node, key); texts: (key, text). Other texts are not hashed."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,6 +286,17 @@ def similar(docs: DataFrame, nodes: DataFrame, links: DataFrame, size: int, simi
                 made = [shingle_set(t, size).tobytes() for t in part.column("text").to_pylist()]
                 yield pa.record_batch({"node": part.column("node"), "s": pa.array(made, pa.binary())})
 
+    wanted = cut(nodes.select("node", "key"))
+    found = texts.join(maybe_broadcast(wanted, wanted.count()), "key").select("node", "text").mapInArrow(sets, "node long, s binary")
+    return found.groupBy("node").agg(F.first("s").alias("s"))
+
+
+def similar(texts: DataFrame, nodes: DataFrame, links: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The links (a, b) whose shingle sets have a Jaccard similarity of at least ``similarity``, counted exactly.
+
+    texts: (key, text); nodes: (node, key) with the key of a text that has the node's set.
+    """
+
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = np.zeros(batch.num_rows, bool)
@@ -304,48 +307,79 @@ def similar(docs: DataFrame, nodes: DataFrame, links: DataFrame, size: int, simi
             yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(ok))
 
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = cut(nodes.select("node", "key").join(ends, "node"))
-    found = docs.join(maybe_broadcast(wanted, wanted.count()), "key").select("node", "text").mapInArrow(sets, "node long, s binary")
-    found = cut(found.groupBy("node").agg(F.first("s").alias("s")))
+    found = cut(shingle_sets(texts, nodes.select("node", "key").join(ends, "node"), size))
     left, right = found.select(F.col("node").alias("a"), F.col("s").alias("sa")), found.select(F.col("node").alias("b"), F.col("s").alias("sb"))
     return links.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(decide, LINK_SCHEMA)
 
 
-def exact_links(nodes: DataFrame, keys, distance: int, check) -> DataFrame:
-    """Links (a, b) that pass ``check``, with the components of all pairs that share a key, are within ``distance`` and pass.
+def set_links(distance: int, similarity: float):
+    """Over partitions sorted by key (rows: key, node, fp, firm, s: the sorted set): links between rows of different
+    components ``firm`` whose sets have the similarity, until none joins any more; a link joins its components."""
 
-    The buckets' forests are checked first. Where that broke a group into several components, each row's nearest one of
-    another component is checked for as long as that joins some; then all pairs between two components that are left.
-    Pairs inside a component cannot change it.
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, cuts in grouped_rows(batches):
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if hi - lo < 2:
+                    continue
+                part = rows.slice(lo, hi - lo)
+                node, fps, firm = part.column("node").to_numpy(), _words(part), part.column("firm").to_numpy().copy()
+                sets = [np.frombuffer(x, np.uint64) for x in part.column("s").to_pylist()]
+                n = np.array([len(x) for x in sets])
+                ends = np.cumsum(n)
+                ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+                member = np.zeros(int(ids.max(initial=-1)) + 1, np.int64)
+                kinds, many = np.unique(firm, return_counts=True)
+                home = kinds[many.argmax()]  # two rows of the largest component need not meet
+                a, b = [], []
+                for i in np.flatnonzero(firm != home).tolist():
+                    near = (firm != firm[i]) & (np.bitwise_count(fps ^ fps[i]).sum(axis=1) <= distance) & (np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
+                    at = np.flatnonzero(near & (n > 0))
+                    if not len(at):
+                        continue
+                    mine = ids[ends[i] - n[i] : ends[i]]
+                    member[mine] = 1
+                    steps = np.cumsum(n[at])
+                    flat = np.repeat(ends[at] - steps, n[at]) + np.arange(steps[-1])
+                    both = np.add.reduceat(member[ids[flat]], steps - n[at])
+                    member[mine] = 0
+                    for j in at[both >= similarity * (n[i] + n[at] - both)].tolist():
+                        if firm[j] != firm[i]:
+                            a.append(node[i])
+                            b.append(node[j])
+                            firm[firm == firm[i]] = firm[j]
+                a, b = np.array(a, np.int64), np.array(b, np.int64)
+                yield pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return links
+
+
+def exact_links(nodes: DataFrame, texts: DataFrame, keys, distance: int, size: int, similarity: float) -> DataFrame:
+    """Links (a, b) of at least that similarity, with the components of all such pairs that share a key and are within
+    ``distance``. nodes: (node, key, fp, bands); texts: (key, text).
+
+    The buckets' forests are checked first. Where that broke a group into several components, the rows outside its
+    largest component meet all others of the group with their sets, in tiles of bounded bytes; what is returned is
+    a forest again, so no task and no table holds all pairs of a group.
     """
-    links = cut(links_of(nodes, keys, distance).distinct())
-    good = cut(check(links))
-    n_good = good.count()
-    if n_good == links.count():
+    links = cut(links_of(nodes.select("node", "bands", "fp"), keys, distance).distinct())
+    good = cut(similar(texts, nodes, links, size, similarity))
+    if good.count() == links.count():
         return good
-    loose = cut(components(links).select(F.col("node").alias("p_node"), F.col("root").alias("loose")))
-    columns = [c for c in nodes.columns if c != "fp"]
-    schema = ", ".join(f"{c} {dict(nodes.dtypes)[c]}" for c in [*columns, "fp"])
-
-    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            firm = batch.column("firm").to_numpy().astype("<i8")
-            fp = [x + r.tobytes() for x, r in zip(batch.column("fp").to_pylist(), firm)]
-            yield batch.select(columns).append_column("fp", pa.array(fp, pa.binary()))
-
-    cross = "nearest"
-    while True:
-        firm = components(good).select(F.col("node").alias("f_node"), F.col("root").alias("firm"))
-        parts = cut(loose.join(firm, F.col("p_node") == F.col("f_node"), "left").select("p_node", "loose", F.coalesce("firm", "p_node").alias("firm")))
-        broken = parts.groupBy("loose").agg(F.min("firm").alias("lo"), F.max("firm").alias("hi")).where("lo < hi").select("loose")
-        again = nodes.join(parts.join(broken, "loose", "left_semi"), F.col("node") == F.col("p_node")).select(*columns, "fp", "firm").mapInArrow(tagged, schema)
-        more = cut(links_of(cut(again), keys, distance, cross=cross).distinct().join(links, ["a", "b"], "left_anti"))
-        good = cut(good.unionByName(check(more)))
-        if cross == "all":
-            return good
-        links, before, n_good = links.unionByName(more), n_good, good.count()
-        if n_good == before:
-            cross = "all"
+    loose = components(links).select(F.col("node").alias("p_node"), F.col("root").alias("key"))
+    firm = components(good).select(F.col("node").alias("f_node"), F.col("root").alias("firm"))
+    parts = cut(loose.join(firm, F.col("p_node") == F.col("f_node"), "left").select("p_node", "key", F.coalesce("firm", "p_node").alias("firm")))
+    # of each broken group the largest component
+    each = parts.groupBy("key", "firm").count()
+    main = cut(each.groupBy(F.col("key").alias("m_key")).agg(F.max_by("firm", F.struct("count", "firm")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts"))
+    rows = parts.join(maybe_broadcast(main, main.count()), F.col("key") == F.col("m_key"))
+    rows = cut(rows.select("p_node", "key", "firm", (F.col("firm") != F.col("main")).alias("far")))
+    wanted = nodes.select("node", F.col("key").alias("t_key"), "fp").join(rows, F.col("node") == F.col("p_node"))
+    sets = shingle_sets(texts, wanted.select("node", F.col("t_key").alias("key")), size)
+    held = wanted.select(F.col("node").alias("w_node"), "fp", "key", "firm", "far").join(sets, F.col("w_node") == F.col("node")).select("key", "node", "fp", "firm", "far", "s")
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tiled(cut(held), F.length("s") + F.lit(100), TILE).select("key", "node", "fp", "firm", "s")
+    more = dealt.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(set_links(distance, similarity), LINK_SCHEMA)
+    return cut(good.unionByName(more))
 
 
 def wide_links(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -372,7 +406,7 @@ def wide_links(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> tuple
 
     prints = cut(docs.mapInArrow(run, "doc_id long, key long, row long, node long, fp binary, bands binary"))
     nodes = cut(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands"), F.min("key").alias("key")))
-    links = exact_links(nodes.select("node", "bands", "fp"), band_keys, distance, lambda x: similar(docs.select("key", "text"), nodes, x, size, similarity))
+    links = exact_links(nodes, docs.select("key", "text"), band_keys, distance, size, similarity)
     return prints.select("doc_id", "key", "row", "node"), links
 
 
