@@ -4,7 +4,8 @@ A BPE segmentation is the one path through the text on which every two neighbour
 their concatenation; in max-plus terms, edges a -> b have weight 0 or minus infinity and the state is the last piece.
 A giant document is cut into chunks of characters. Each chunk yields, independently, its transfer matrix between the
 states at its two boundaries (a state: the piece that reaches the boundary and how far it runs over). Matrices combine
-associatively (``compose``); once the states at all boundaries are known, each chunk is backtraced on its own.
+associatively (``compose``) up a tree, ``FAN`` neighbours a task; the states at the outer boundaries then go down the
+tree to all chunks, and each chunk is backtraced on its own. No task holds more than ``FAN`` matrices of a text.
 
 No piece joins a sign to the white space after it, so a segment (spaces and the word after them) is a path of its
 own: matrices of chunks with white space have rank one, and segments are encoded once each and remembered.
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import by_size, table, written
 
 CHUNK = 16_384  # characters of a chunk; longer documents are giant
+FAN = 32  # neighbouring matrices that one step of the scan combines
 CACHE = 120_000  # segments a worker remembers; it forgets all of them beyond
 LONG = 200  # longer segments are not remembered
 SPACE = "▁"
@@ -208,17 +210,62 @@ def compose(a: dict[State, list[State]], b: dict[State, list[State]]) -> dict[St
     return out
 
 
-def boundary_states(matrices: list[dict[State, list[State]]]) -> list[State]:
-    """The states at all boundaries on the one path from the start to a piece that ends with the text."""
-    reached: list[set[State]] = [{START}]
+Matrix = dict[State, list[State]]
+
+
+def boundary_states(matrices: list[Matrix], entry: State = START, exit_: State | None = None) -> list[State]:
+    """The states at all boundaries on the path from ``entry`` to ``exit_`` (None: a piece that ends with the text)."""
+    reached: list[set[State]] = [{entry}]
     for m in matrices:
         reached.append({y for x in reached[-1] for y in m.get(x, ())})
-    states = [next(s for s in sorted(reached[-1]) if s[0] == 0)]
+    states = [exit_ or next(s for s in sorted(reached[-1]) if s[0] == 0)]
     for m, some in zip(matrices[::-1], reached[-2::-1]):
         states.append(next(x for x in sorted(some) if states[-1] in m.get(x, ())))
     return states[::-1]
 
 
+def _dump(m: Matrix) -> str:
+    return json.dumps([[list(x), ys] for x, ys in m.items()])
+
+
+def _load(text: str) -> Matrix:
+    return {tuple(x): [tuple(y) for y in ys] for x, ys in json.loads(text)}
+
+
+def scan(leaves: DataFrame, most: int, fan: int = FAN) -> DataFrame:
+    """(key, at, entry, exit): the states at both boundaries of each leaf (key, at, matrix; at from 0, without gaps).
+
+    ``most``: the largest at. Up: neighbours combine ``fan`` at a time until one matrix a key is left. Down: the states
+    at the boundaries of each node give those of its children.
+    """
+
+    def up(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("at")
+        whole = None
+        for text in rows.column("matrix").to_pylist():
+            whole = _load(text) if whole is None else compose(whole, _load(text))
+        return pa.table({"key": rows.column("key")[:1], "at": pa.array([rows.column("at")[0].as_py() // fan], pa.int64()), "matrix": pa.array([_dump(whole)])})
+
+    def down(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("at")
+        ends = [tuple(json.loads(x)) if (x := rows.column(c)[0].as_py()) else None for c in ("entry", "exit")]
+        states = boundary_states([_load(m) for m in rows.column("matrix").to_pylist()], ends[0] or START, ends[1])
+        return pa.table({"key": rows.column("key"), "at": rows.column("at"), "entry": pa.array(map(json.dumps, states[:-1]), pa.string()), "exit": pa.array(map(json.dumps, states[1:]), pa.string())})
+
+    levels = [leaves]
+    while most >= fan:
+        most //= fan
+        levels.append(written(levels[-1].groupBy("key", F.floor(F.col("at") / fan)).applyInArrow(up, "key string, at long, matrix string"), "scan"))
+    states = levels[-1].select("key", "at", "matrix", F.lit(None).cast("string").alias("entry"), F.lit(None).cast("string").alias("exit"))
+    for k in range(len(levels) - 1, -1, -1):
+        states = states.groupBy("key", F.floor(F.col("at") / fan)).applyInArrow(down, "key string, at long, entry string, exit string")
+        if k:
+            above = written(states, "states").select(F.col("key").alias("u_key"), F.col("at").alias("u_at"), "entry", "exit")
+            below = levels[k - 1]
+            states = below.join(above, (F.col("key") == F.col("u_key")) & (F.floor(F.col("at") / fan) == F.col("u_at"))).select("key", "at", "matrix", "entry", "exit")
+    return states
+
+
 @cache
 def model_of(path: str) -> Pieces:
     """One for each worker process, which keeps its segments from task to task."""
@@ -226,7 +273,7 @@ def model_of(path: str) -> Pieces:
 
 
 # ---------------------------------------------------------------- operators
-def _giant(docs: DataFrame, path: str, chunk: int) -> DataFrame:
+def _giant(docs: DataFrame, path: str, chunk: int, fan: int = FAN) -> DataFrame:
     """(key, ids binary) of each different text of docs(key, text), all longer than a chunk."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,36 +284,36 @@ def _giant(docs: DataFrame, path: str, chunk: int) -> DataFrame:
                 for n, s in enumerate(range(0, len(line), chunk)):
                     lo = max(0, s - room)
                     part = line[lo : s + chunk + room]
-                    yield pa.record_batch({"key": [key], "chunk": pa.array([n], pa.int32()), "s": pa.array([s - lo], pa.int32()), "e": pa.array([min(s + chunk, len(line)) - lo], pa.int32()), "part": [part]})
+                    yield pa.record_batch({"key": [key], "at": pa.array([n], pa.int64()), "s": pa.array([s - lo], pa.int32()), "e": pa.array([min(s + chunk, len(line)) - lo], pa.int32()), "part": [part]})
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("chunk", "s", "e", "part")))
-            out = [json.dumps([[list(x), ys] for x, ys in model.transfer(part, s, e, n == 0).items()]) for n, s, e, part in rows]
-            yield pa.record_batch({"key": batch.column("key"), "chunk": batch.column("chunk"), "matrix": pa.array(out, pa.string())})
-
-    def fold(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("chunk")
-        states = boundary_states([{tuple(x): [tuple(y) for y in ys] for x, ys in json.loads(m)} for m in rows.column("matrix").to_pylist()])
-        return pa.table({"s_key": rows.column("key"), "s_chunk": rows.column("chunk"), "entry": pa.array(map(json.dumps, states[:-1])), "exit": pa.array(map(json.dumps, states[1:]))})
+            rows = zip(*(batch.column(c).to_pylist() for c in ("at", "s", "e", "part")))
+            out = [_dump(model.transfer(part, s, e, n == 0)) for n, s, e, part in rows]
+            yield pa.record_batch({"key": batch.column("key"), "at": batch.column("at"), "matrix": pa.array(out, pa.string())})
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("s", "e", "part", "entry", "exit")))
             out = [np.array(model.backtrace(part, s, e, tuple(json.loads(x)), tuple(json.loads(y))), "<u2").tobytes() for s, e, part, x, y in rows]
-            yield pa.record_batch({"key": batch.column("key"), "chunk": batch.column("chunk"), "ids": pa.array(out, pa.binary())})
+            yield pa.record_batch({"key": batch.column("key"), "at": batch.column("at"), "ids": pa.array(out, pa.binary())})
+
+    def whole(rows: pa.Table) -> pa.Table:
+        return pa.table({"key": rows.column("key")[:1], "ids": pa.array([b"".join(rows.sort_by("at").column("ids").to_pylist())], pa.binary())})
 
-    chunks = docs.mapInArrow(cut, "key long, chunk int, s int, e int, part string")
-    chunks = written(chunks.dropDuplicates(["key", "chunk"]), "chunks")  # copies once; chunks spread over tasks
-    states = chunks.mapInArrow(matrices, "key long, chunk int, matrix string").groupBy("key").applyInArrow(fold, "s_key long, s_chunk int, entry string, exit string")
-    joined = chunks.join(states, (F.col("key") == F.col("s_key")) & (F.col("chunk") == F.col("s_chunk")))
-    ids = joined.select("key", "chunk", "s", "e", "part", "entry", "exit").mapInArrow(traced, "key long, chunk int, ids binary")
-    return ids.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("c")).select("key", F.concat_ws("", F.transform("c.ids", lambda x: F.hex(x))).alias("h")).select("key", F.unhex("h").alias("ids"))
+    chunks = docs.mapInArrow(cut, "key string, at long, s int, e int, part string")
+    chunks = written(chunks.dropDuplicates(["key", "at"]), "chunks")  # copies once; chunks spread over tasks
+    most = chunks.agg(F.max("at")).first()[0] or 0
+    leaves = written(chunks.mapInArrow(matrices, "key string, at long, matrix string"), "matrices")
+    states = scan(leaves, most, fan).select(F.col("key").alias("s_key"), F.col("at").alias("s_at"), "entry", "exit")
+    joined = chunks.join(states, (F.col("key") == F.col("s_key")) & (F.col("at") == F.col("s_at")))
+    ids = joined.select("key", "at", "s", "e", "part", "entry", "exit").mapInArrow(traced, "key string, at long, ids binary")
+    return ids.groupBy("key").applyInArrow(whole, "key string, ids binary")
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
     """(doc_id, text_crc32, ids): the ids (little-endian, 16 bits) of each row's text, as the library encodes it.
 
     Null and empty texts have no ids. Repeated rows and null doc_ids keep their rows; other columns are not read; an
@@ -283,9 +330,9 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
 
     crc = F.crc32(F.col("text").cast("binary")).alias("text_crc32")
     small = docs.where(F.length("text") <= chunk).select("doc_id", crc, "text").mapInArrow(run, "doc_id long, text_crc32 long, ids binary")
-    key = F.xxhash64("text").alias("key")
+    key = F.md5(F.col("text").cast("binary")).alias("key")
     large = docs.where(F.length("text") > chunk)
-    found = _giant(large.select(key, "text"), path, chunk)
+    found = _giant(large.select(key, "text"), path, chunk, fan)
     return small.unionByName(large.select("doc_id", crc, key).join(found, "key").select("doc_id", "text_crc32", "ids"))
 
 

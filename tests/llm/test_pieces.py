@@ -60,7 +60,7 @@ def test_operator_with_giant_texts(spark, model):
     solid = "".join(rng.choices("etaoinshrdlu", k=2500))
     rows = [(1, "short text"), (2, None), (3, ""), (4, giant), (5, giant), (6, solid), (None, giant), (4, giant), (7, giant[:511]), (8, giant[:512]), (9, giant[:513])]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, ids string")
-    coded = p.encode(docs, MODEL, chunk=512)
+    coded = p.encode(docs, MODEL, chunk=512, fan=3)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.ids_crc32, r.decoded_crc32, r.round_trip) for r in p.digest(coded, MODEL).collect())
     want = []
     for i, t in rows:
@@ -70,3 +70,14 @@ def test_operator_with_giant_texts(spark, model):
     back = {r.doc_id: r.text for r in p.decode(coded, MODEL).collect()}
     assert back[6] == solid and back[1] == "short text" and back[2] == ""
     assert p.digest(p.encode(docs.limit(0), MODEL), MODEL).count() == 0
+
+
+def test_a_text_of_five_million_characters(spark, model):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(5000)] + ["\n", "日本", "x" * 300]
+    text = " ".join(rng.choices(words, k=800_000))
+    assert len(text) > 4_500_000
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u2") for r in p.encode(docs, MODEL).collect()}
+    assert got[1].tolist() == model.library.encode(text)
+    assert model.decode(got[1]) == text.encode()
