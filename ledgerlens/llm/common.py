@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,12 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the cluster names none (tests)."""
+    """The folder that driver and executors share; a temporary one only where there is no cluster (tests), else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm.isDefined():
             return jvm.get()
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="ledgerlens-")
         spark.sparkContext.setCheckpointDir(base)
     return base
@@ -49,10 +52,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def maybe_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcasts only below the bound on a counted number of rows; beyond it Spark shuffles and splits skewed keys."""
+    """Broadcasts only below the bound on a counted number of rows of at most about 100 bytes (``hundreds`` for wider ones);
+    beyond it Spark shuffles and splits skewed keys."""
     return F.broadcast(df) if rows <= bound else df
 
 
+def hundreds(df: DataFrame, *texts: Column | str) -> int:
+    """The size of df in rows of 100 bytes: its rows, and the bytes of the given texts over 100. A size for ``maybe_broadcast``."""
+    size = sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(0)) / 100
+    return int(df.agg(F.sum(1 + size)).first()[0] or 0)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of at most ``rows`` rows from here on in the session: texts of some kilobytes each need buffers of
     some megabytes then, on either side of the pipe, and not of a hundred."""

@@ -161,10 +161,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents predicted to be of low quality go. Columns and their order stay."""
+    """Pipeline stage: documents predicted to be of low quality go. Columns and their order stay.
+
+    Null and empty texts have the bias alone for a score; repeated rows stay or go together; columns of any name may
+    follow; no documents give none, and without labels every score is 0.5, so that all go.
+    """
     weights = train(docs, table(spark, sf_dir, "labels"))
-    scored = score(docs, weights, list(docs.columns))
-    return scored.where(F.col("_score") >= THRESHOLD).select(docs.columns)
+    scored = score(docs.select(F.struct(*docs.columns).alias("row"), "text"), weights, ["row"])
+    return scored.where(F.col("_score") >= THRESHOLD).select("row.*")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

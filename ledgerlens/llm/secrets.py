@@ -12,7 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import cut, maybe_broadcast, table
+from ledgerlens.llm.common import cut, hundreds, maybe_broadcast, table
 
 CANDIDATE = "[A-Za-z0-9_+/=-]{16,}"
 LEFT, RIGHT = 48, 16  # characters of context on either side
@@ -163,20 +163,28 @@ def scan(docs: DataFrame, model: PipelineModel | None = None) -> DataFrame:
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: secrets are masked in the text, n_chars counts anew; no document goes, no column changes place.
+    """Pipeline stage: secrets are masked in the text, n_chars (where there is one) counts anew; no document goes, no
+    column changes its place.
 
-    Equal texts of the same source are judged alike, so findings join documents on the hash of both.
+    Equal texts of the same source (where there is one) are judged alike, so findings join documents on the hash of both.
+    Null and empty texts and repeated rows stay as they are; columns of any name may follow; no documents give none.
     """
-    key = F.xxhash64("text", "source")
-    texts = docs.select("text", F.col("source").cast("string").alias("path"), key.alias("_key"))
+    source = F.col("source").cast("string") if "source" in docs.columns else F.lit("")
+    key = F.md5(F.concat(F.coalesce("text", F.lit("")), F.lit("\n"), F.coalesce(source, F.lit(""))).cast("binary"))
+    texts = docs.select("text", source.alias("path"), key.alias("_key"))
     found = judged(texts, train(spark)).where(F.col("score") >= THRESHOLD)
     # longer secrets first: one may be part of another
-    per_text = cut(found.groupBy("_key").agg(F.collect_set(F.struct((-F.length("secret")).alias("n"), "secret")).alias("_s")).select("_key", F.array_sort("_s")["secret"].alias("_secrets")))
-    joined = docs.join(maybe_broadcast(per_text, per_text.count(), 50_000), key == F.col("_key"), "left")
-    masked = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(F.aggregate("_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK))))
-    out = joined.withColumn("_text", masked)
-    changed = {"text": F.col("_text"), "n_chars": F.when(F.col("_secrets").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))}
-    return out.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    per_text = found.groupBy("_key").agg(F.collect_set(F.struct((-F.length("secret")).alias("n"), "secret")).alias("_s"))
+    per_text = cut(per_text.select(F.col("_key").alias("_found"), F.array_sort("_s")["secret"].alias("_secrets")))
+    joined = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key"))
+    joined = joined.join(maybe_broadcast(per_text, hundreds(per_text, F.array_join("_secrets", ""))), F.col("_key") == F.col("_found"), "left")
+    text = F.col("_row.text")
+    masked = F.when(F.col("_secrets").isNull(), text).otherwise(F.aggregate("_secrets", text, lambda t, s: F.replace(t, s, F.lit(MASK))))
+    out = joined.select("_row", "_secrets", masked.alias("_text"))
+    changed = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_secrets").isNull(), F.col("_row.n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

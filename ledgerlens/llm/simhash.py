@@ -435,16 +435,16 @@ def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     tops = tops.join(roots, F.col("node") == F.col("r_node"), "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     kept = cut(tops.select(F.col("first.row").alias("row")))
     rows = prints.groupBy("row").count()
-    gone = cut(rows.join(kept, "row", "left_anti").select(F.col("row").alias("_row")))
-    out = docs.join(maybe_broadcast(gone, gone.count()), row_hash(docs) == F.col("_row"), "left_anti")
+    gone = cut(rows.join(kept, "row", "left_anti").select(F.col("row").alias("_other")))
+    keyed = docs.select(F.struct(*docs.columns).alias("_doc"), row_hash(docs).alias("_hash"))
+    out = keyed.join(maybe_broadcast(gone, gone.count()), F.col("_hash") == F.col("_other"), "left_anti")
     # rows that are equal in every column
-    twice = cut(rows.where("count > 1").join(kept, "row", "left_semi").select(F.col("row").alias("_row")))
-    n_twice = twice.count()
-    if not n_twice:
-        return out
-    twice = maybe_broadcast(twice, n_twice)
-    single = out.join(twice, row_hash(out) == F.col("_row"), "left_anti")
-    return single.unionByName(out.join(twice, row_hash(out) == F.col("_row"), "left_semi").dropDuplicates())
+    twice = cut(rows.where("count > 1").join(kept, "row", "left_semi").select(F.col("row").alias("_other")))
+    if n_twice := twice.count():
+        twice = maybe_broadcast(twice, n_twice)
+        single = out.join(twice, F.col("_hash") == F.col("_other"), "left_anti")
+        out = single.unionByName(out.join(twice, F.col("_hash") == F.col("_other"), "left_semi").dropDuplicates())
+    return out.select("_doc.*")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import cut, maybe_broadcast, table
+from ledgerlens.llm.common import cut, hundreds, maybe_broadcast, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX = 8  # hex digits of the digest that the join uses
@@ -40,7 +40,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     """
     rules = rules.where("host <> '' and path is not null and verdict is not null").select("host", "path", "verdict").distinct()
     rules = cut(rules.select(F.translate("host", UPPER, LOWER).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict")))
-    shape = rules.agg(F.collect_set(F.size(F.split("r_host", "\\."))).alias("labels"), F.collect_set(F.length("r_path")).alias("lengths"), F.count("*").alias("n")).first()
+    shape = rules.agg(F.collect_set(F.size(F.split("r_host", "\\."))).alias("labels"), F.collect_set(F.length("r_path")).alias("lengths")).first()
     digests = rules.withColumn("r_digest", _digest(F.col("r_host"), F.col("r_path"))).withColumn("r_prefix", F.substring("r_digest", 1, PREFIX))
 
     host, path = split_url(F.col("url"))
@@ -50,11 +50,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     urls = pages.where("host <> ''").select("host", "path").distinct()
     made = urls.withColumn("suffix", F.explode(F.array_distinct(suffixes))).withColumn("start", F.explode(F.array_distinct(prefixes)))
     made = made.withColumn("digest", _digest(F.col("suffix"), F.col("start"))).withColumn("prefix", F.substring("digest", 1, PREFIX))
-    hits = made.join(maybe_broadcast(digests, shape["n"]), (F.col("prefix") == F.col("r_prefix")) & (F.col("digest") == F.col("r_digest")))
+    hits = made.join(maybe_broadcast(digests, hundreds(rules, "r_host", "r_path", "r_verdict")), (F.col("prefix") == F.col("r_prefix")) & (F.col("digest") == F.col("r_digest")))
     order = F.struct(F.length("r_host") + F.length("r_path"), F.when(F.col("r_verdict") == "block", 1).otherwise(0), F.concat("r_host", "r_path"))
     best = hits.groupBy(F.col("host").alias("b_host"), F.col("path").alias("b_path")).agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict")), order).alias("b"))
     best = cut(best)
-    joined = pages.join(maybe_broadcast(best, best.count()), (F.col("host") == F.col("b_host")) & (F.col("path") == F.col("b_path")), "left")
+    joined = pages.join(maybe_broadcast(best, hundreds(best, "b_host", "b_path")), (F.col("host") == F.col("b_host")) & (F.col("path") == F.col("b_path")), "left")
     return joined.select("page_id", "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
 
 

@@ -44,3 +44,30 @@ def test_stages_and_result(spark, tmp_path):
     assert set(out) == want
     library = pieces.model_of(pieces.default_model()).library
     assert all(out[i].ids == library.encode(kept[i]) and out[i].n_tokens == len(out[i].ids) for i in want)
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, nulls in every column, repeated rows, clashing names, no source and n_chars."""
+    write(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    token = f'key = "{HEX}"'
+    rows = [(None, None, None, None, None), (None, "", "en", None, 0), (7, None, None, "s", 1), (5, f"some words {token}", "en", "s", None), (5, f"some words {token}", "en", "s", None)]
+    odd = spark.createDataFrame(rows, docs.schema)
+    for name in ("_row", "_key", "_text", "_score", "_secrets", "_keep", "_found", "row", "node", "key", "fp"):
+        odd = odd.withColumn(name, odd["lang"])
+    for table in (odd, odd.limit(0), odd.drop("source", "n_chars")):
+        n = table.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, str(tmp_path))
+            assert out.columns == table.columns, name
+            assert out.schema["text"].dataType == table.schema["text"].dataType
+            kept = out.count()
+            assert kept <= n and (n == 0 or kept > 0 or name == "quality classifier"), name
+            if name == "secret scans" and n:
+                assert kept == n and sum("[secret]" in (r.text or "") for r in out.collect()) == 2
+            if name == "simhash near-dedup" and n:
+                assert kept == 2  # the texts without words are one group
+        assert corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path)).count() == n
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/empty/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
