@@ -26,9 +26,9 @@ END = 2
 BLOCK_IDS = 1 << 19  # a block closes at so many ids; one longer document makes a block of its own
 BUCKET_DOCS = 20_000
 GROUP = 1024  # buckets whose sums run in one task
-CACHE = 250_000  # distinct words a worker remembers; it forgets all of them beyond
+CACHE = 60_000  # distinct words of a generation; a worker remembers two
 LONG = 200  # longer words are encoded each time
-SLICE = 4_000_000  # bytes of text that a worker holds as words at a time
+SLICE = 2_000_000  # bytes of text that a worker holds as words at a time
 
 FORMAT = "bucket int, block int, doc_ids array<bigint>, n_ids bigint, width int, ids binary, low_bits int, low binary, high binary, samples binary"
 
@@ -113,6 +113,7 @@ class WordEncoder:
     def forget(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
         self.letters: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # letters before the last overflow: those met again are kept
 
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
@@ -130,20 +131,25 @@ class WordEncoder:
 
     def _coded(self, words: pa.Array) -> list[bytes]:
         """Ids of different words."""
-        if len(self.known) > CACHE or len(self.letters) > CACHE:
+        if len(self.known) > CACHE:
             self.forget()
+        if len(self.letters) > CACHE:
+            self.older, self.letters = self.letters, {}
         bases = pc.utf8_rtrim(words, characters=self.SIGNS)
-        plain = pc.utf8_is_alpha(bases).to_pylist()
-        words, bases = words.to_pylist(), bases.to_pylist()
-        self._learn_letters(list({b for b, ok in zip(bases, plain) if ok} - self.letters.keys()))
+        plain = pc.utf8_is_alpha(bases).to_numpy(zero_copy_only=False).tolist()
+        # by way of numpy: Arrow's own lists make a scalar of each value first
+        words, bases = (x.to_numpy(zero_copy_only=False).tolist() for x in (words, bases))
+        letters, older = self.letters, self.older
+        new = {b for b, ok in zip(bases, plain) if ok and b not in letters}
+        letters.update((b, older[b]) for b in new if b in older)
+        self._learn_letters([b for b in new if b not in older])
         signs = [w[len(b) :] if ok else w for w, b, ok in zip(words, bases, plain)]
         new = list(set(signs) - self.known.keys())
         long = [w for w in new if len(w) > LONG]
         new = [w for w in new if len(w) <= LONG]
         self.known.update(zip(new, self._each(new)))
         known = self.known | dict(zip(long, self._each(long))) if long else self.known
-        letters = self.letters
-        return [letters[b] + known[s] if ok else known[s] for b, s, ok in zip(bases, signs, plain)]
+        return [(letters[b] + known[s] if s else letters[b]) if ok else known[s] for b, s, ok in zip(bases, signs, plain)]
 
     def batch(self, texts: pa.Array, tail: bytes = b"") -> list[bytes]:
         """Ids of each text, with ``tail`` after each. Words are told apart by Arrow; only different ones come here."""
