@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -54,7 +56,7 @@ def bm25(docs: DataFrame, doc_id: str, text: str, queries: DataFrame, query_id:
     repeatedly. Only query terms' postings are joined. Documents of score zero come last by id: they fill a query only
     where fewer than k score, and are taken from the k smallest ids, so queries never meet all documents.
     """
-    stats = docs.agg(F.count("*").alias("N"), F.avg(F.size(exprs.tokens(F.coalesce(F.col(text), F.lit(""))))).alias("avgdl"))
+    stats = docs.agg(F.count("*").alias("N"), F.avg(F.regexp_count(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit("[a-z0-9']+"))).alias("avgdl"))
     asked = queries.select(query_id, F.explode(exprs.tokens(F.coalesce(F.col(query), F.lit("")))).alias("term")).groupBy(query_id, "term").agg(F.count("*").alias("qf"))
     terms = asked.select("term").distinct()
     post = postings(docs, doc_id, text).join(terms, "term", "left_semi")
@@ -78,18 +80,23 @@ def ranked(scored: DataFrame, query_id: str, doc_id: str, k: int) -> DataFrame:
 
 
 def dense(vectors: DataFrame, vec_id: str, vector: str, queries: DataFrame, query_id: str, k: int, rows: int = 2000) -> DataFrame:
-    """Exact cosine search of a small, counted set of query vectors (broadcast) over all vectors: score (six places), rank."""
+    """Exact cosine search of a stated set of query vectors over all vectors: score (six places), rank.
+
+    Queries go in blocks of about ``rows``, each broadcast: only a block meets the vectors at a time, and every task keeps
+    its k best of a query before the shuffle.
+    """
     def unit(c: Column) -> Column:
         v = F.transform(c, lambda x: x.cast("double"))
         norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
         return F.transform(v, lambda x: F.try_divide(x, norm))
 
     q = queries.select(query_id, unit(F.col(vector)).alias("_q"))
-    if q.count() > rows:
-        raise ValueError("too many query vectors for the exact search")
+    blocks = max(1, -(-q.count() // rows))
     d = vectors.select(vec_id, unit(F.col(vector)).alias("_d"))
     dot = F.aggregate(F.zip_with("_q", "_d", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    return ranked(d.join(F.broadcast(q)).where(F.col(query_id) != F.col(vec_id)).select(query_id, vec_id, F.bround(dot, 6).alias("score")), query_id, vec_id, k)
+    parts = [q.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == i) if blocks > 1 else q for i in range(blocks)]
+    found = [ranked(d.join(F.broadcast(p)).where(F.col(query_id) != F.col(vec_id)).select(query_id, vec_id, F.bround(dot, 6).alias("score")), query_id, vec_id, k) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 def matches(filters: dict, metadata: str | None = None, lists: tuple[str, ...] = ()) -> Column:

@@ -32,12 +32,12 @@ def q_provenance_normalise(spark, sf):
 
 
 def _pack(spark, sf):
-    q = table(spark, sf, "conversations").where("role = 'user'").select(F.concat_ws("-", F.lit("c"), "conv_id", F.col("turn") % 3).alias("query_id"), F.substring("text", 1, 12).alias("query_text"), (F.col("turn") % 2).cast("string").alias("intent"))
+    q = table(spark, sf, "conversations").where("role = 'user'").select(F.concat_ws("-", F.lit("c"), "conv_id", F.col("turn") % 3).alias("query_id"), F.col("text").alias("query_text"), (F.col("turn") % 2).cast("string").alias("intent"))
     j = table(spark, sf, "labels").select(F.concat_ws("-", F.lit("c"), F.col("doc_id") % 300, F.lit(0)).alias("query_id"), (F.col("doc_id") % 2).cast("string").alias("target"), F.when(F.col("quality") == 1, "relevant").when(F.col("toxic") == 1, "odd").otherwise("not_relevant").alias("label"))
     return q, j
 
 
-_PACK = """with q as (select 'c-' || conv_id || '-' || (turn % 3) query_id, substr(text, 1, 12) query_text, (turn % 2)::varchar intent from conversations where role = 'user'),
+_PACK = """with q as (select 'c-' || conv_id || '-' || (turn % 3) query_id, text query_text, (turn % 2)::varchar intent from conversations where role = 'user'),
  j as (select 'c-' || (doc_id % 300) || '-0' query_id, (doc_id % 2)::varchar target, case when quality = 1 then 'relevant' when toxic = 1 then 'odd' else 'not_relevant' end as label from labels)
 """
 
@@ -67,9 +67,9 @@ def q_seed_queries(spark, sf):
     return packs.seed_queries(rows, "n_name", "c_mktsegment", {"value": "What is the {metric} of {entity}?", "status": "Is {entity} publishable?"})
 
 
-@query("""with a as (select distinct c_nationkey n, c_mktsegment m from customer where c_acctbal > 9900) select a.n left_key, b.n right_key, min(a.m) metric from a join a b on a.m = b.m and a.n < b.n group by 1, 2 order by 1, 2 limit 24""")
+@query("""with a as (select distinct c_nationkey n, c_mktsegment m from customer) select a.n left_key, b.n right_key, min(a.m) metric from a join a b on a.m = b.m and a.n < b.n group by 1, 2 order by 1, 2 limit 24""")
 def q_entity_pairs(spark, sf):
-    out = packs.entity_pairs(table(spark, sf, "customer").where("c_acctbal > 9900"), "c_nationkey", "c_mktsegment")
+    out = packs.entity_pairs(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment")
     return out.select(F.col("c_nationkey").alias("left_key"), F.col("other").alias("right_key"), "metric")
 
 

@@ -28,7 +28,7 @@ def q_tokenise_df(spark, sf):
     return retrieval.document_frequency(table(spark, sf, "documents"), "doc_id", "text")
 
 
-_BM25 = _POST + """, st as (select count(*)::double n, avg(len(w)) a from t), q0 as (select item_id, unnest(list_slice(string_split(text, ' '), 1, 6)) x from benchmark), q1 as (select item_id, unnest(regexp_extract_all(lower(x), '[a-z0-9'']+')) term from q0),
+_BM25 = _POST + """, st as (select count(*)::double n, avg(len(w)) a from t), q1 as (select item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9'']+')) term from benchmark),
  q as (select item_id, term, count(*) qf from q1 group by all),
  s as (select item_id, doc_id, round_even(sum(qf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * l / a))), 6) score from q join df using (term) join p using (term), st {where} group by 1, 2),
  r as (select *, row_number() over (partition by item_id order by score desc, doc_id) k from s)
@@ -36,7 +36,7 @@ _BM25 = _POST + """, st as (select count(*)::double n, avg(len(w)) a from t), q0
 
 
 def _bm25(spark, sf, k, candidates=None):
-    bench = table(spark, sf, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("query"))
+    bench = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("query"))
     return retrieval.bm25(table(spark, sf, "documents"), "doc_id", "text", bench, "item_id", "query", k, candidates)
 
 
@@ -46,14 +46,14 @@ def q_bm25_topk(spark, sf):
 
 
 _DENSE = """with v as (select vec_id, label, list_transform(embedding, lambda x: x::double) e from embeddings), u as (select vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) e from v),
- s as (select q.vec_id query_id, d.vec_id, d.label, q.label ql, round_even(list_sum(list_transform(range(1, 65), lambda i: q.e[i] * d.e[i])), 6) score from u q join u d on q.vec_id <> d.vec_id where q.vec_id < 50),
+ s as (select q.vec_id query_id, d.vec_id, d.label, q.label ql, round_even(list_sum(list_transform(range(1, 65), lambda i: q.e[i] * d.e[i])), 6) score from u q join u d on q.vec_id <> d.vec_id where q.vec_id % 100 = 0),
  r as (select *, row_number() over (partition by query_id order by score desc, vec_id) k from s)
 """
 
 
 def _dense(spark, sf, k, labels=None):
     vectors = table(spark, sf, "embeddings")
-    queries = vectors.where("vec_id < 50").select(F.col("vec_id").alias("query_id"), "embedding")
+    queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
     pool = vectors if labels is None else vectors.where(F.col("label").isin(labels))
     return retrieval.dense(pool, "vec_id", "embedding", queries, "query_id", k)
 
@@ -71,11 +71,11 @@ def q_metadata_filter(spark, sf):
 
 def _relevant(spark, sf):
     vectors = table(spark, sf, "embeddings").select("vec_id", "label")
-    asked = vectors.where("vec_id < 50").select(F.col("vec_id").alias("query_id"), "label")
+    asked = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "label")
     return asked.join(vectors, "label").where("query_id <> vec_id").select("query_id", "vec_id", (1 + F.col("vec_id") % 2).cast("int").alias("grade"))
 
 
-_IR = _DENSE + """, g as (select q.vec_id query_id, d.vec_id, 1 + d.vec_id % 2 grade from embeddings q join embeddings d on q.label = d.label and q.vec_id <> d.vec_id where q.vec_id < 50),
+_IR = _DENSE + """, g as (select q.vec_id query_id, d.vec_id, 1 + d.vec_id % 2 grade from embeddings q join embeddings d on q.label = d.label and q.vec_id <> d.vec_id where q.vec_id % 100 = 0),
  h as (select query_id, count(*) f, min(k) first, sum((pow(2, grade) - 1) / log2(k + 1)) dcg from r join g using (query_id, vec_id) where k <= 10 group by 1),
  i as (select query_id, count(*) relevant, sum((pow(2, grade) - 1) / log2(p + 1)) filter (p <= 10) best from (select *, row_number() over (partition by query_id order by grade desc, vec_id) p from g) group by 1),
  m as (select query_id, relevant, coalesce(round_even(f / relevant::double, 6), 0) recall, coalesce(round_even(1.0::double / first, 6), 0) mrr, coalesce(round_even(dcg / best, 6), 0) ndcg from i left join h using (query_id))
@@ -91,19 +91,19 @@ def q_ir_metrics(spark, sf):
     return _ir(spark, sf)
 
 
-@query(_IR + """, b as (select unnest([case when query_id % 2 = 0 then 'even' else 'odd' end, 'all']) bucket, recall, mrr from m) select bucket, count(*) queries, round_even(avg(recall), 9) recall, round_even(avg(mrr), 9) mrr from b group by 1""")
+@query(_IR + """, b as (select unnest([case when query_id % 200 = 0 then 'even' else 'odd' end, 'all']) bucket, recall, mrr from m) select bucket, count(*) queries, round_even(avg(recall), 9) recall, round_even(avg(mrr), 9) mrr from b group by 1""")
 def q_bucket_metrics(spark, sf):
-    buckets = F.array(F.when(F.col("query_id") % 2 == 0, "even").otherwise("odd"), F.lit("all"))
+    buckets = F.array(F.when(F.col("query_id") % 200 == 0, "even").otherwise("odd"), F.lit("all"))
     return retrieval.bucket_means(_ir(spark, sf), buckets, ["recall", "mrr"], places=9)
 
 
-@query(_DENSE + """, g as (select query_id, vec_id from s where label = ql and vec_id % 25 = 0),
+@query(_DENSE + """, g as (select query_id, vec_id from s where label = ql),
  f as (select *, row_number() over (partition by query_id order by score desc, vec_id) kf from s where label < 8), ff as (select * from f where kf <= 60),
  e as (select g.query_id, g.vec_id, ff.kf, ff.kf is not null seen, r.k <= 25 wide from g left join ff using (query_id, vec_id) left join r using (query_id, vec_id)),
  o as (select query_id, count(*) targets, count(*) filter (kf <= 5) found, count(*) filter (not wide) lost, count(*) filter (wide and not seen) cut from e group by 1)
  select query_id, targets, found, case when found = targets then null when lost > 0 then 'retrieval' when cut > 0 then 'filtering' else 'ranking' end cause from o""")
 def q_failure_diagnosis(spark, sf):
-    target = _relevant(spark, sf).where("vec_id % 25 = 0")
+    target = _relevant(spark, sf)
     return retrieval.diagnose(_dense(spark, sf, 60, list(range(8))), _dense(spark, sf, 25), target, "query_id", "vec_id", 5)
 
 
