@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import by_size, table, written
+from ledgerlens.llm.common import by_size, small_batches, table, written
 
 CHUNK = 16_384  # characters of a chunk; longer documents are giant
 FAN = 32  # neighbouring matrices that one step of the scan combines
-CACHE = 120_000  # segments a worker remembers; it forgets all of them beyond
+CACHE = 80_000  # segments a worker remembers; it forgets all of them beyond
 LONG = 200  # longer segments are not remembered
 SPACE = "▁"
 SEGMENT = re.compile(" +[^ \n]*|\n[^ \n]*")
@@ -75,7 +75,7 @@ class Pieces:
         """Whether piece b may follow piece a."""
         found = self.fits.get((a, b))
         if found is None:
-            if len(self.fits) > 2 * CACHE:
+            if len(self.fits) > CACHE:
                 self.fits.clear()
             found = self.fits[a, b] = self.merge(a + b) == ([a, b] if a else [b])
         return found
@@ -313,27 +313,42 @@ def _giant(docs: DataFrame, path: str, chunk: int, fan: int = FAN) -> DataFrame:
     return ids.groupBy("key").applyInArrow(whole, "key string, ids binary")
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
-    """(doc_id, text_crc32, ids): the ids (little-endian, 16 bits) of each row's text, as the library encodes it.
-
-    Null and empty texts have no ids. Repeated rows and null doc_ids keep their rows; other columns are not read; an
-    empty table gives no rows. Giant texts are encoded once however often they occur.
-    """
+def encoded(docs: DataFrame, path: str, view, schema: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
+    """doc_id and what ``view(model, ids, text_crc32)``, columns by name, makes of each row's ids, in the pass that encodes
+    it: no second Python worker beside the one that holds the model. Rules for odd rows: see ``encode``."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
         for batch in batches:
-            for part in by_size(batch, "text", 500):
-                ids = pa.array(map(model.encode, part.column("text").to_pylist()), pa.binary())
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "text_crc32": part.column("text_crc32"), "ids": ids})
+            for part in by_size(batch, "text", 500, 2_000_000):
+                ids = list(map(model.encode, part.column("text").to_pylist()))
+                yield pa.record_batch({"doc_id": part.column("doc_id")} | view(model, ids, part.column("text_crc32").to_pylist()))
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_of(path)
+        for batch in batches:
+            for part in by_size(batch, "ids", 500, 2_000_000):
+                yield pa.record_batch({"doc_id": part.column("doc_id")} | view(model, part.column("ids").to_pylist(), part.column("text_crc32").to_pylist()))
 
     crc = F.crc32(F.col("text").cast("binary")).alias("text_crc32")
-    small = docs.where(F.length("text") <= chunk).select("doc_id", crc, "text").mapInArrow(run, "doc_id long, text_crc32 long, ids binary")
+    out = f"doc_id long, {schema}"
+    small = docs.where(F.length("text") <= chunk).select("doc_id", crc, "text").mapInArrow(run, out)
     key = F.md5(F.col("text").cast("binary")).alias("key")
     large = docs.where(F.length("text") > chunk)
     found = _giant(large.select(key, "text"), path, chunk, fan)
-    return small.unionByName(large.select("doc_id", crc, key).join(found, "key").select("doc_id", "text_crc32", "ids"))
+    return small.unionByName(large.select("doc_id", crc, key).join(found, "key").select("doc_id", "text_crc32", "ids").mapInArrow(seen, out))
+
+
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
+    """(doc_id, text_crc32, ids): the ids (little-endian, 16 bits) of each row's text, as the library encodes it.
+
+    Null and empty texts have no ids. Repeated rows and null doc_ids keep their rows; other columns are not read; an
+    empty table gives no rows. Giant texts are encoded once however often they occur.
+    """
+    view = lambda _, ids, crc: {"text_crc32": pa.array(crc, pa.int64()), "ids": pa.array(ids, pa.binary())}
+    return encoded(docs, path, view, "text_crc32 long, ids binary", chunk, fan)
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
@@ -348,18 +363,18 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     return coded.select("doc_id", "text_crc32", "ids").mapInArrow(run, "doc_id long, text_crc32 long, ids binary, text string")
 
 
-def digest(coded: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 (ids as little-endian unsigned 32-bit integers), decoded_crc32 and round_trip."""
+def _digest(model: Pieces, ids: list[bytes], crcs: list[int]) -> dict[str, pa.Array]:
+    ids = [np.frombuffer(x, "<u2") for x in ids]
+    back = [crc32(model.decode(x)) for x in ids]
+    return {
+        "n_tokens": pa.array(map(len, ids), pa.int64()), "ids_crc32": pa.array([crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
+        "decoded_crc32": pa.array(back, pa.int64()), "round_trip": pa.array([a == b for a, b in zip(back, crcs)], pa.bool_()),
+    }
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(path)
-        for batch in batches:
-            ids = [np.frombuffer(x, "<u2") for x in batch.column("ids").to_pylist()]
-            back = [crc32(model.decode(x)) for x in ids]
-            same = [a == b for a, b in zip(back, batch.column("text_crc32").to_pylist())]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(map(len, ids), pa.int64()), "ids_crc32": pa.array([crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), "decoded_crc32": pa.array(back, pa.int64()), "round_trip": pa.array(same, pa.bool_())})
 
-    return coded.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
+def digest(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32 (ids as little-endian unsigned 32-bit integers), decoded_crc32 and round_trip of each row."""
+    return encoded(docs, path, _digest, "n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean", chunk, fan)
 
 
 def default_model() -> str:
@@ -369,16 +384,19 @@ def default_model() -> str:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: doc_id, n_tokens and ids of every document."""
+    """Pipeline stage, the last: doc_id, n_tokens and ids of every document.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in by_size(batch, "ids", 500, 2_000_000):
-                ids = [np.frombuffer(x, "<u2").astype(np.int32) for x in part.column("ids").to_pylist()]
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32()))})
+    Null and empty texts have no ids; repeated rows and null doc_ids keep their rows; other columns, whatever their
+    names, are not read; no documents give no rows.
+    """
+
+    def view(_: Pieces, ids: list[bytes], __: list[int]) -> dict[str, pa.Array]:
+        flat = np.frombuffer(b"".join(ids), "<u2").astype(np.int32)
+        ends = np.cumsum([0, *(len(x) // 2 for x in ids)]).astype(np.int32)
+        return {"n_tokens": pa.array(np.diff(ends), pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
 
-    return encode(docs, default_model()).select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return encoded(docs, default_model(), view, "n_tokens long, ids array<int>")
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(encode(table(spark, sf_dir, "documents"), default_model()), default_model())
+    return digest(table(spark, sf_dir, "documents"), default_model())
