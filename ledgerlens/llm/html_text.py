@@ -52,6 +52,11 @@ BOILERPLATE_WORDS = (
     "copyright legal disclaimer toolbar topbar contentinfo complementary dialog skip reply replies feedback adsense adbox adslot advertorial "
     "announcement privacy paywall outbrain taboola teaser"
 ).split()
+#: Of these, words that also name subjects: they count only where they are at least half of a class name.
+WEAK_WORDS = frozenset(
+    "share sharing related recommended header notice alert legal search reply replies responses reader privacy login feedback discussion dialog "
+    "announcement social subscription signup banner disclaimer copyright promotion promo sponsor sponsored consent comment response skip pager".split()
+)
 CONTENT_WORDS = "article content main post entry story body text page container wrapper prose".split()
 BOILERPLATE_TAGS = "nav aside footer form header dialog fieldset".split()
 
@@ -96,13 +101,20 @@ def _boilerplate(name: str, attrs: str, in_article: bool) -> bool:
     if not attrs or name in ("html", "body"):
         return False
     words: set[str] = set()
+    bad: set[str] = set()
     for m in ATTR.finditer(attrs):
         if m[5]:
             return True
-        words.update(re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower()))
+        for given in (m[2] or m[3] or m[4] or "").lower().split():
+            parts = [x for x in re.split(r"[^a-z0-9]+", given) if x]
+            words.update(parts)
+            marked = [x for x in parts if x in bad_words]
+            if 2 * len(marked) >= len(parts):
+                bad.update(marked)
+            else:
+                bad.update(x for x in marked if x not in WEAK_WORDS)
     if HIDDEN.search(attrs):
         return True
-    bad = words & bad_words
     if bad and (in_article or words & OWN_WORDS):
         bad -= {"header"}  # an article's own header
     if not bad or words & LAYOUT_WORDS:
@@ -119,22 +131,25 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     cost = weights()[0]
-    # each block: its text, holder path, score before it (tags since the block before), own score
-    blocks: list[tuple[str, tuple[int, ...], float]] = []
+    # each block: its text, the number of elements that hold it, its score; before it: the score of the tags since the
+    # block before, and the least number of open elements in between
+    blocks: list[tuple[str, int, float]] = []
     gaps: list[float] = []
-    stack: list[tuple[str, int, bool]] = []
-    serial, out_depth, articles, gap, inner, buffer = 0, 0, 0, 0.0, 0.0, []
-    path: tuple[int, ...] = ()
+    dips: list[int] = []
+    stack: list[tuple[str, bool]] = []
+    opened: Counter = Counter()
+    out_depth, articles, dip, gap, inner, buffer = 0, 0, 0, 0.0, 0.0, []
 
     def flush() -> None:
-        nonlocal gap, inner
+        nonlocal gap, inner, dip
         if buffer:
             text = " ".join("".join(buffer).split())
             buffer.clear()
             if text:
-                blocks.append((text, path, text.count(" ") + 1 + inner))
+                blocks.append((text, len(stack), text.count(" ") + 1 + inner))
                 gaps.append(gap)
-                gap = inner = 0.0
+                dips.append(dip)
+                gap, inner, dip = 0.0, 0.0, len(stack)
         gap += inner
         inner = 0.0
 
@@ -159,27 +174,28 @@ def extract(page: str | None) -> str:
         if name in VOID or attrs.endswith("/") and inline:
             continue
         if end:
-            if any(s[0] == name for s in stack):
-                while True:
-                    top, _, bad = stack.pop()
-                    out_depth -= bad
-                    articles -= top in ARTICLES
-                    if top == name:
-                        break
-                path = tuple(s[1] for s in stack)
+            while opened[name]:
+                top, bad = stack.pop()
+                opened[top] -= 1
+                out_depth -= bad
+                articles -= top in ARTICLES
+                if top == name:
+                    break
+            dip = min(dip, len(stack))
             continue
         while stack and not inline and (stack[-1][0] == "p" or stack[-1][0] == name == "li"):
-            out_depth -= stack.pop()[2]  # a paragraph or list item that was left out and not closed
-            path = tuple(s[1] for s in stack)
+            top, bad = stack.pop()  # a paragraph or list item that was left out and not closed
+            opened[top] -= 1
+            out_depth -= bad
+            dip = min(dip, len(stack))
         bad = _boilerplate(name, attrs, articles > 0)
         if name in HOLDERS or bad:
             if bad:
                 flush()
-            serial += 1
-            stack.append((name, serial, bad))
+            stack.append((name, bad))
+            opened[name] += 1
             out_depth += bad
             articles += name in ARTICLES
-            path = tuple(s[1] for s in stack)
     flush()
     if not blocks:
         return ""
@@ -193,13 +209,13 @@ def extract(page: str | None) -> str:
         if total > best:
             best, lo, hi = total, start, i
     # the region grows to the innermost element that holds all of it
-    shared = blocks[lo][1]
-    for _, p, _ in blocks[lo : hi + 1]:
-        shared = shared[: next((k for k, (a, b) in enumerate(zip(shared, p)) if a != b), min(len(shared), len(p)))]
-    depth = len(shared)
-    whole = depth > 2
-    chosen = [t for i, (t, p, _) in enumerate(blocks) if lo <= i <= hi or whole and p[:depth] == shared]
-    return "\n".join(chosen)
+    depth = min([blocks[lo][1], *dips[lo + 1 : hi + 1]])
+    if depth > 2:
+        while lo and dips[lo] >= depth:
+            lo -= 1
+        while hi + 1 < len(blocks) and dips[hi + 1] >= depth:
+            hi += 1
+    return "\n".join(t for t, _, _ in blocks[lo : hi + 1])
 
 
 def main_text(pages: DataFrame) -> DataFrame:

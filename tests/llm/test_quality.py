@@ -25,3 +25,31 @@ def test_held_out_accuracy_and_odd_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in q.quality_scores(docs, empty).collect()} == {0.5}
     assert q.quality_scores(docs.limit(0), empty).count() == 0
+
+
+def test_scores_against_plain_python(spark):
+    """The sparse dot product of each text, its n-grams counted by plain loops."""
+    from math import exp
+    from zlib import crc32
+
+    mask, mix, odd = (1 << 64) - 1, 0x9E3779B1, 0x85EBCA6B
+    rng = np.random.default_rng(4)
+    weights = rng.normal(size=q.DIM + 1)
+
+    def plain(text):
+        words = (text or "").split()
+        raw = [crc32(w.lower().encode()) for w in words]
+        shape = [crc32(q.word_shape(w).encode(), 7) for w in words]
+        shape = [0x9E3779B97F4A7C15 if i and words[i] == words[i - 1] else s for i, s in enumerate(shape)]
+        two = [(a * mix + b * odd) & mask for a, b in zip(shape, shape[1:])]
+        grams = raw + [(s + 1) & mask for s in shape] + [(a * odd + b * mix) & mask for a, b in zip(raw, raw[1:])] + two + [(a * mix + b) & mask for a, b in zip(two, shape[2:])]
+        hashed = [(g * 0xD6E8FEB86659FD93) & mask for g in grams]
+        places = [(x ^ (x >> 29)) & (q.DIM - 1) for x in hashed]
+        w = weights.astype(np.float32).astype(float)
+        dot = w[-1] + (q.SCALE * sum(w[i] for i in places) / len(places) if places else 0)
+        return 1 / (1 + exp(-max(-35, min(35, dot))))
+
+    texts = [None, "", "one", "two two two", "The QUICK brown fox, 12 times!! é ü", "x " * 30_000, *(" ".join(f"w{x}" for x in rng.integers(0, 50, 40)) for _ in range(20))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r._score for r in q.score(docs, weights, ["doc_id"]).collect()}
+    assert all(abs(got[i] - plain(t)) < 1e-6 for i, t in enumerate(texts))
