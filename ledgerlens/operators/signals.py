@@ -82,18 +82,45 @@ def correlations(df: DataFrame, fields: list[str], top: int = 3) -> DataFrame:
     return out.orderBy(F.desc(F.bround(F.abs("r"), 9)), "left_field", "right_field").limit(top)
 
 
+def quantiles(df: DataFrame, value: Column, shares: list[float], accuracy: int = 10_000, small: int = 100_000) -> list[float | None]:
+    """Exact quantiles (interpolated) in bounded memory; null without any value.
+
+    Above ``small`` rows a first pass brackets each quantile by approximate ones, a second counts what lies below and
+    inside, and only the values inside the brackets, a few of ``accuracy``, are ordered.
+    """
+    v = df.select(value.cast("double").alias("v")).where("v is not null")
+    n = v.count()
+    if not n:
+        return [None] * len(shares)
+    if n <= small:
+        return list(v.agg(F.percentile("v", F.array(*map(F.lit, shares)))).first()[0])
+    slack = 3 / accuracy
+    while True:
+        ends = [min(1.0, max(0.0, p + d)) for p in shares for d in (-slack, slack)]
+        marks = v.agg(F.percentile_approx("v", ends, accuracy)).first()[0]
+        pairs = [(p, lo if p > slack else float("-inf"), hi if p < 1 - slack else float("inf")) for p, lo, hi in zip(shares, marks[::2], marks[1::2])]
+        inside = [(F.col("v") >= lo) & (F.col("v") <= hi) for _, lo, hi in pairs]
+        counts = v.agg(*[F.count_if(F.col("v") < lo) for _, lo, _ in pairs], *[F.count_if(x) for x in inside]).first()
+        below, held = counts[: len(pairs)], counts[len(pairs) :]
+        ranks = [(p * (n - 1) - b, m - 1) for (p, _, _), b, m in zip(pairs, below, held)]
+        if all(0 <= r <= m for r, m in ranks) or slack > 0.5:
+            parts = [F.percentile(F.when(x, F.col("v")), min(1.0, max(0.0, r / m if m > 0 else 0.0))) for x, (r, m) in zip(inside, ranks)]
+            return list(v.agg(*parts).first())
+        slack *= 4  # the approximation missed
+
+
 def robust_outliers(df: DataFrame, key: str, field: str) -> DataFrame:
     """key, field, robust_z, outside (of the quartile fences), strength: both moderate, one weak; others left out.
 
     The robust z is 0.6745 (x - median) / MAD, zero for all where MAD is zero.
     """
     v = F.col(field).cast("double")
-    one = df.agg(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    mid = df.select(v.alias("v")).join(F.broadcast(one)).agg(F.median(F.abs(F.col("v") - F.col("q")[1])).alias("mad"), F.first("q").alias("q"))
-    rows = df.select(key, v.alias(field)).where(F.col(field).isNotNull()).join(F.broadcast(mid))
-    z = F.when(F.col("mad") == 0, 0.0).otherwise(0.6745 * (F.col(field) - F.col("q")[1]) / F.col("mad"))
-    spread = 1.5 * (F.col("q")[2] - F.col("q")[0])
-    outside = (F.col(field) < F.col("q")[0] - spread) | (F.col(field) > F.col("q")[2] + spread)
+    first, mid, third = quantiles(df, v, [0.25, 0.5, 0.75])
+    mad = quantiles(df, F.abs(v - F.lit(mid)), [0.5])[0] if mid is not None else None
+    rows = df.select(key, v.alias(field)).where(F.col(field).isNotNull())
+    z = (0.6745 * (F.col(field) - F.lit(mid)) / F.lit(mad)) if mad else F.lit(0.0)
+    spread = 1.5 * (third - first) if mid is not None else 0.0
+    outside = (F.col(field) < (first or 0.0) - spread) | (F.col(field) > (third or 0.0) + spread)
     out = rows.select(key, field, z.alias("robust_z"), outside.alias("outside"))
     far = F.abs("robust_z") >= 3
     return out.where(F.col("outside") | far).withColumn("strength", F.when(F.col("outside") & far, "moderate").otherwise("weak"))
@@ -159,9 +186,9 @@ def isolation_forest(df: DataFrame, key: str, fields: list[str], sample: int = 5
     scored = rows.mapInArrow(run, schema)
     n = rows.count()
     share = min(0.15, max(0.05, 2 / n))
-    bounds = scored.agg(F.percentile("score", F.array(F.lit(1 - share), F.lit(0.9))).alias("q"))
-    out = scored.join(F.broadcast(bounds)).withColumn("flagged", F.col("score") > F.col("q")[0])
-    return out.select(key, "score", "flagged", F.when(F.col("flagged") & (F.col("score") >= F.col("q")[1]), "moderate").when(F.col("flagged"), "weak").alias("strength"))
+    low, high = quantiles(scored, F.col("score"), [1 - share, 0.9])
+    out = scored.withColumn("flagged", F.col("score") > low)
+    return out.select(key, "score", "flagged", F.when(F.col("flagged") & (F.col("score") >= high), "moderate").when(F.col("flagged"), "weak").alias("strength"))
 
 
 def interpret(signals: DataFrame, by: list[str], halve_unnamed: bool = True) -> DataFrame:

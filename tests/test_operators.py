@@ -111,9 +111,58 @@ def test_stack_and_readiness(spark):
     assert out == [(1, "foundation", 1), (1, "always", 2), (2, "always", 1), (3, "now", 1), (3, "always", 2)]
 
 
-def test_filters_and_dense_bound(spark):
+def test_filters_and_dense_blocks(spark):
     df = spark.createDataFrame([(1, ["a", "b"], '{"k": 2}'), (2, ["c"], '{"k": 3}')], "i int, tags array<string>, props string")
     assert [r.i for r in df.where(retrieval.matches({"tags": ["b", "z"], "$.k": 2}, "props", ("tags",))).collect()] == [1]
-    v = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id int, e array<double>")
-    with pytest.raises(ValueError):
-        retrieval.dense(v, "vec_id", "e", v.withColumnRenamed("vec_id", "q"), "q", 1, rows=0)
+    v = spark.createDataFrame([(i, [math.cos(i), math.sin(i)]) for i in range(30)], "vec_id int, e array<double>")
+    asked = v.withColumnRenamed("vec_id", "q")
+    whole, blocks = (sorted(map(tuple, retrieval.dense(v, "vec_id", "e", asked, "q", 3, rows=n).select("q", "vec_id", "rank").collect())) for n in (100, 7))
+    assert whole == blocks and len(whole) == 90
+
+
+def test_quantiles_in_brackets_are_exact(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=5000), rng.integers(0, 9, 5000).astype(float), np.ones(3000)):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+        shares = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+        got = signals.quantiles(df, F.col("v"), shares, accuracy=200, small=10)
+        assert np.allclose(got, np.quantile(values, shares), atol=1e-9), got
+    assert signals.quantiles(df.limit(0), F.col("v"), [0.5]) == [None]
+
+
+def test_forest_scores_against_plain_recursion():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3))
+    forest = signals.Forest(x, trees=20)
+
+    def depth(node, row):
+        return node[0] if len(node) == 1 else depth(node[2] if row[node[0]] < node[1] else node[3], row)
+
+    c = 2 * (np.log(255) + 0.5772156649) - 2 * 255 / 256
+    want = [2 ** (-np.mean([depth(t, r) for t in forest.trees]) / c) for r in x]
+    assert np.allclose(forest.score(x), want)
+
+
+def test_fuzzy_resolution_against_all_pairs(spark):
+    """Every name against every alias: blocking by two-letter pieces must lose none."""
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(2)
+    aliases = ["".join(rng.choices("abcdeg", k=rng.randint(4, 9))) for _ in range(40)]
+    names = []
+    for _ in range(120):
+        a = list(rng.choice(aliases))
+        for _ in range(rng.randint(0, 2)):
+            a[rng.randrange(len(a))] = rng.choice("abcdegx")
+        names.append("".join(a))
+    side = spark.createDataFrame([(a, a.upper()) for a in sorted(set(aliases))], "alias_key string, canonical string")
+    out = resolve.resolve_fuzzy(spark.createDataFrame([(n,) for n in sorted(set(names))], "n string"), side, "n").collect()
+    for r in out:
+        ratio, best = max((SequenceMatcher(None, r.n, a).ratio(), a) for a in set(aliases))
+        want = "exact_alias" if r.n in aliases else "fuzzy_high" if ratio >= 0.93 else "fuzzy_medium" if ratio >= 0.85 else "unmatched"
+        assert r.match == want and (want == "unmatched" or r.canonical == best.upper()), (r, ratio, best)
