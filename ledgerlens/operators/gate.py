@@ -21,6 +21,8 @@ class MetricPolicy:
     max_error: float = 0.05
     advisory_only: bool = False
     publishable_methods: tuple[str, ...] = ("reported",)
+    hard_fail_checks: tuple[str, ...] = ()
+    advisory_checks: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,39 @@ class Policy:
         return spark.createDataFrame(rows, "metric string, needs_evidence boolean, min_confidence double, grades array<string>, max_error double, advisory_only boolean, methods array<string>")
 
 
+_REPORTED = ("reported", "reported_and_estimated", "mixed")
+_MISSING = ("brand_alignment.missing_ai_brands",)
+_UNIQUE = "core_brand_metrics.brand_unique"
+
+
+def _evidenced(metric: str, *checks: str) -> MetricPolicy:
+    return MetricPolicy(metric, True, 0.8, ("A", "B"), 0.05, False, _REPORTED, checks, _MISSING)
+
+
+def _estimated(metric: str, *checks: str) -> MetricPolicy:
+    return MetricPolicy(metric, False, 0.0, (), 0.05, True, (), checks, _MISSING)
+
+
+#: The published policy, four metrics that need evidence and two that are advisory only.
+POLICY_V1 = Policy("v1.0.0", (
+    _evidenced("rank", "core_brand_metrics.rank_unique", _UNIQUE), _evidenced("store_count", _UNIQUE), _evidenced("system_sales", _UNIQUE), _evidenced("auv", "implied_auv_k"),
+    _estimated("fte_mid", "fte_range_order", "fte_range_order.row"), _estimated("margin_mid_pct", "margin_range_order", "margin_range_order.row"),
+))
+
+
+def finding_flags(claims: DataFrame, findings: DataFrame, policy: Policy, subject: str) -> DataFrame:
+    """Claims with hard_fail and finding: whether an error of a hard-fail check, or a finding of an advisory check, is about
+    their subject, or about all (null subject), and their metric. The policy's checks and metrics are few rows."""
+    rows = [(m.metric, c, hard) for m in policy.metrics for hard, checks in ((True, m.hard_fail_checks), (False, m.advisory_checks)) for c in checks]
+    spec = claims.sparkSession.createDataFrame(rows, "metric string, _check string, _hard boolean")
+    about = findings.join(F.broadcast(spec), F.col("check_name") == F.col("_check"))
+    found = about.groupBy(F.col(subject).alias("_s"), F.col("metric").alias("_m")).agg(F.bool_or(F.col("_hard") & (F.col("severity") == "error")).alias("_h"), F.bool_or(~F.col("_hard")).alias("_f"))
+    general = found.where("_s is null").select(F.col("_m").alias("_gm"), F.col("_h").alias("_gh"), F.col("_f").alias("_gf"))
+    out = claims.join(found.where("_s is not null"), (F.col(subject) == F.col("_s")) & (F.col("metric") == F.col("_m")), "left").join(F.broadcast(general), F.col("metric") == F.col("_gm"), "left")
+    flag = lambda a, b: F.coalesce(F.col(a), F.lit(False)) | F.coalesce(F.col(b), F.lit(False))
+    return out.withColumns({"hard_fail": flag("_h", "_gh"), "finding": flag("_f", "_gf")}).drop("_s", "_m", "_h", "_f", "_gm", "_gh", "_gf")
+
+
 def decide(claims: DataFrame, policy: Policy) -> DataFrame:
     """Blocking and warning reasons and status of each claim.
 

@@ -45,7 +45,8 @@ def resolve_fuzzy(names: DataFrame, aliases: DataFrame, name: str) -> DataFrame:
     left = open_.withColumn("piece", F.explode(pieces(F.col("k"))))
     right = aliases.withColumn("piece", F.explode(pieces(F.col("alias_key"))))
     near = F.least(F.length("k"), F.length("alias_key")) * 2 >= MEDIUM * (F.length("k") + F.length("alias_key"))
-    pairs = left.join(right, "piece").where(near).select("k", "alias_key", "canonical").distinct()
+    # frequent pieces would make hot keys: a counted list of aliases is broadcast
+    pairs = left.join(F.broadcast(right) if aliases.count() <= BROADCAST // 10 else right, "piece").where(near).select("k", "alias_key", "canonical").distinct()
 
     def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

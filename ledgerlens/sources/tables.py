@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions import exprs
+from ledgerlens.sources import workbook
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -34,9 +35,11 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 
 def read(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Parquet, CSV (all columns text, blanks kept) or JSON, by the path's ending; spreadsheets are refused."""
-    if path.endswith((".xlsx", ".xls")):
-        raise ValueError(f"{path}: export each sheet as CSV or Parquet; there is no spreadsheet reader here")
+    """Parquet, CSV (all columns text, blanks kept), JSON or the first sheet of a workbook, by the path's ending."""
+    if path.endswith(".xlsx"):
+        return workbook.read_sheet(spark, path)
+    if path.endswith(".xls"):
+        raise ValueError(f"{path}: save it as .xlsx, CSV or Parquet; the binary format is not read here")
     if path.endswith(".csv"):
         return spark.read.csv(path, header=header, inferSchema=False, nullValue="\u0000", emptyValue="", multiLine=True, escape='"')
     if path.endswith((".json", ".jsonl")):

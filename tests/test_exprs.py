@@ -40,5 +40,5 @@ def test_digits(spark):
 
 def test_lists_and_shares(spark):
     assert values(spark, ['["a", " b "]', "x|y| ", "one", "nan", None], e.json_list) == [["a", "b"], ["x", "y"], ["one"], [], []]
-    assert values(spark, ["62.5%加盟，其余直营", "约 41%授权", "7%直营", "自营"], e.franchise_share) == [0.625, 0.41, 0.93, None]
+    assert values(spark, ["62.5%加盟，其余直营", "约 41%授权", "25%直营", "自营"], e.franchise_share) == [0.625, 0.41, 0.75, None]
     assert values(spark, ["Yes", "0", "", "maybe"], e.parse_flag) == [True, False, False, None]

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.__main__ import COMMANDS, main
-from ledgerlens.operators import evaluation, lookups, rules, scorecards
-from ledgerlens.sources import normalise, sinks
+from ledgerlens.operators import evaluation, gate, lookups, rules, scorecards
+from ledgerlens.sources import normalise, sinks, tables, workbook
 
 
 def rows(df):
@@ -136,3 +136,35 @@ def test_new_commands(spark, tmp_path):
         spark.createDataFrame([("a",), ("zz",)], "brand string").write.parquet(wanted)
         main(["demo", "--table", scored, "--wanted", wanted, "--key", "brand", "--out", out])
     assert len(COMMANDS) >= 31
+
+
+def test_flags_of_the_published_policy(spark):
+    claims = spark.createDataFrame([("a", "auv"), ("a", "rank"), ("b", "auv"), ("b", "fte_mid")], "subject string, metric string")
+    found = spark.createDataFrame([("a", "implied_auv_k", "error"), ("b", "implied_auv_k", "warning"), (None, "brand_alignment.missing_ai_brands", "warning"), (None, "fte_range_order", "error")], "subject string, check_name string, severity string")
+    out = {(r.subject, r.metric): (r.hard_fail, r.finding) for r in gate.finding_flags(claims, found, gate.POLICY_V1, "subject").collect()}
+    assert out == {("a", "auv"): (True, True), ("a", "rank"): (False, True), ("b", "auv"): (False, True), ("b", "fte_mid"): (True, True)}
+    assert [m.metric for m in gate.POLICY_V1.metrics if m.advisory_only] == ["fte_mid", "margin_mid_pct"]
+
+
+def write_workbook(path):
+    import zipfile
+
+    main, links = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"', 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    rows = '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c><c r="D1" t="s"><v>1</v></c></row><row r="2"/><row r="3"><c r="A3" t="inlineStr"><is><t>Joe</t></is></c><c r="D3"><v>2.5</v></c></row><row r="4"><c r="B4" t="b"><v>1</v></c></row>'
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {main} {links}><sheets><sheet name="Core" sheetId="1" r:id="r1"/><sheet name="Notes" sheetId="2" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="x"><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>brand</t></si><si><r><t>va</t></r><r><t>lue</t></r></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData>{rows}</sheetData></worksheet>")
+        z.writestr("xl/worksheets/sheet2.xml", f'<worksheet {main}><sheetData><row><c t="str"><v>note</v></c></row></sheetData></worksheet>')
+
+
+def test_workbooks(spark, tmp_path):
+    write_workbook(f"{tmp_path}/book.xlsx")
+    df = workbook.read_sheet(spark, f"{tmp_path}/book.xlsx")
+    assert df.columns == ["brand", "value", "value_2", "_position"]
+    assert sorted(map(tuple, df.collect()), key=str) == [("Joe", None, "2.5", 0), (None, "TRUE", None, 1)]
+    assert tables.read(spark, f"{tmp_path}/book.xlsx").columns == df.columns
+    assert workbook.read_sheet(spark, f"{tmp_path}/book.xlsx", "Notes").count() == 0
+    with pytest.raises(ValueError):
+        workbook.read_sheet(spark, f"{tmp_path}/book.xlsx", "None")

@@ -16,8 +16,8 @@ def test_required_and_optional_tables(spark, tmp_path):
         tables.load_tables(spark, str(tmp_path), ["c", "b"])
     got, warnings = tables.load_optional(spark, f"{tmp_path}/silver", {"a": T.StructType(), "z": T.StructType([T.StructField("x", T.LongType())])})
     assert got["z"].columns == ["x"] and warnings == ["z is missing"]
-    with pytest.raises(ValueError, match="spreadsheet"):
-        tables.read(spark, "x.xlsx")
+    with pytest.raises(ValueError, match="binary format"):
+        tables.read(spark, "x.xls")
 
 
 def test_templates_and_standard_columns(spark, tmp_path):
