@@ -63,10 +63,22 @@ def hundreds(df: DataFrame, *texts: Column | str) -> int:
     return int(df.agg(F.sum(1 + size)).first()[0] or 0)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage that is no longer read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows from here on in the session: texts of some kilobytes each need buffers of
-    some megabytes then, on either side of the pipe, and not of a hundred."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Arrow batches of at most ``rows`` rows, never more than the session allows already: texts of some kilobytes each
+    need buffers of some megabytes then, on either side of the pipe, and not of a hundred.
+
+    Spark reads this setting when a plan runs, so it holds for the session from here on; smaller batches change no result.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
 
 
 def by_size(batch: pa.RecordBatch, column: str, rows: int = 2000, limit: int = 8_000_000) -> Iterator[pa.RecordBatch]:
