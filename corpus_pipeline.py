@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import decontaminate, pieces, quality, secrets, simhash
-from ledgerlens.llm.common import table, written
+from ledgerlens.llm.common import new_path, remove, table
 
 STAGES = [
     ("quality classifier", quality.keep_good),
@@ -23,7 +23,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other; a stage's table goes when the next one is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"stage{k}")
+        path = new_path(spark, f"stage{k}")
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if last:
+            remove(spark, last)
+        last = path
     return docs
