@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import by_size, small_batches, table, written
+from ledgerlens.llm.common import by_size, maybe_broadcast, small_batches, table, written
 
 CHUNK = 16_384  # characters of a chunk; longer documents are giant
 FAN = 32  # neighbouring matrices that one step of the scan combines
@@ -305,10 +305,11 @@ def _giant(docs: DataFrame, path: str, chunk: int, fan: int = FAN) -> DataFrame:
 
     chunks = docs.mapInArrow(cut, "key string, at long, s int, e int, part string")
     chunks = written(chunks.dropDuplicates(["key", "at"]), "chunks")  # copies once; chunks spread over tasks
-    most = chunks.agg(F.max("at")).first()[0] or 0
+    most, n_chunks = chunks.agg(F.max("at"), F.count("*")).first()
     leaves = written(chunks.mapInArrow(matrices, "key string, at long, matrix string"), "matrices")
-    states = scan(leaves, most, fan).select(F.col("key").alias("s_key"), F.col("at").alias("s_at"), "entry", "exit")
-    joined = chunks.join(states, (F.col("key") == F.col("s_key")) & (F.col("at") == F.col("s_at")))
+    states = scan(leaves, most or 0, fan).select(F.col("key").alias("s_key"), F.col("at").alias("s_at"), "entry", "exit")
+    # a counted number of states, some bytes each, spares the chunks a second shuffle
+    joined = chunks.join(maybe_broadcast(states, n_chunks), (F.col("key") == F.col("s_key")) & (F.col("at") == F.col("s_at")))
     ids = joined.select("key", "at", "s", "e", "part", "entry", "exit").mapInArrow(traced, "key string, at long, ids binary")
     return ids.groupBy("key").applyInArrow(whole, "key string, ids binary")
 
