@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import by_size, maybe_broadcast, small_batches, table, written
+from ledgerlens.llm.common import by_size, cut, maybe_broadcast, small_batches, table, written
 
 CHUNK = 16_384  # characters of a chunk; longer documents are giant
 FAN = 32  # neighbouring matrices that one step of the scan combines
@@ -276,7 +276,7 @@ def model_of(path: str) -> Pieces:
 def _giant(docs: DataFrame, path: str, chunk: int, fan: int = FAN) -> DataFrame:
     """(key, ids binary) of each different text of docs(key, text), all longer than a chunk."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         room = model_of(path).longest
         for batch in batches:
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
@@ -303,7 +303,7 @@ def _giant(docs: DataFrame, path: str, chunk: int, fan: int = FAN) -> DataFrame:
     def whole(rows: pa.Table) -> pa.Table:
         return pa.table({"key": rows.column("key")[:1], "ids": pa.array([b"".join(rows.sort_by("at").column("ids").to_pylist())], pa.binary())})
 
-    chunks = docs.mapInArrow(cut, "key string, at long, s int, e int, part string")
+    chunks = docs.mapInArrow(split, "key string, at long, s int, e int, part string")
     chunks = written(chunks.dropDuplicates(["key", "at"]), "chunks")  # copies once; chunks spread over tasks
     most, n_chunks = chunks.agg(F.max("at"), F.count("*")).first()
     leaves = written(chunks.mapInArrow(matrices, "key string, at long, matrix string"), "matrices")
@@ -339,7 +339,9 @@ def encoded(docs: DataFrame, path: str, view, schema: str, chunk: int = CHUNK, f
     key = F.md5(F.col("text").cast("binary")).alias("key")
     large = docs.where(F.length("text") > chunk)
     found = _giant(large.select(key, "text"), path, chunk, fan)
-    return small.unionByName(large.select("doc_id", crc, key).join(found, "key").select("doc_id", "text_crc32", "ids").mapInArrow(seen, out))
+    # the rows of giant texts are some bytes each: where their counted number allows, the ids are not shuffled again
+    who = cut(large.select("doc_id", crc, key))
+    return small.unionByName(found.join(maybe_broadcast(who, who.count()), "key").select("doc_id", "text_crc32", "ids").mapInArrow(seen, out))
 
 
 def encode(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
