@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.common import by_size, maybe_broadcast, new_path, small_batches, table
+from ledgerlens.llm.common import by_size, maybe_broadcast, new_path, small_batches, table, trim
 
 END = 2
 BLOCK_IDS = 1 << 19  # a block closes at so many ids; one longer document makes a block of its own
@@ -179,7 +179,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
     that column only; texts are encoded where they are read, and only ids (two bytes each) are shuffled.
     """
     spark = docs.sparkSession
-    small_batches(spark, 2000)
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = docs.agg(F.count("doc_id")).first()[0]
@@ -197,6 +197,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
                 ids = pa.array(encoder.batch(part.column("text"), tail), pa.binary())
                 pa.default_memory_pool().release_unused()
                 yield pa.record_batch({"bucket": bucket, "doc_id": part.column("doc_id"), "tie": part.column("tie"), "width": pa.array([width] * part.num_rows, pa.int32()), "ids": ids})
+        trim()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, block, held, size = None, 0, [], 0
@@ -218,6 +219,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
                 size += len(ids) // w
         if held:
             yield close()
+        trim()
 
     coded = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).mapInArrow(run, "bucket int, doc_id long, tie long, width int, ids binary")
     dealt = coded.repartition(parts, "bucket").sortWithinPartitions(F.asc("bucket"), F.asc_nulls_first("doc_id"), F.asc("tie"))
@@ -238,7 +240,7 @@ def _based(blocks: DataFrame) -> DataFrame:
 
 def _read(spark: SparkSession, path: str, view, schema: str) -> DataFrame:
     """``view(ids, width)``, columns by name, of the documents of the files, with doc_id and start: one Python pass."""
-    small_batches(spark, 2000)
+    small_batches(spark)
     blocks = spark.read.schema(FORMAT).parquet(path)
     blocks = blocks.join(maybe_broadcast(_based(blocks), blocks.count()), ["bucket", "block"])
 
@@ -252,6 +254,7 @@ def _read(spark: SparkSession, path: str, view, schema: str) -> DataFrame:
                     some, cut = docs[lo : lo + 1000], at[lo : lo + 1001]
                     seen = view([ids[a * width : b * width] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())], width)
                     yield pa.record_batch({"doc_id": pa.array(some, pa.int64()), "start": pa.array(cut[:-1] + r["base"], pa.int64())} | seen)
+        trim()
 
     return blocks.mapInArrow(run, f"doc_id long, start long, {schema}")
 
