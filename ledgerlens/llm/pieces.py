@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import by_size, cut, maybe_broadcast, small_batches, table, written
+from ledgerlens.llm.common import by_size, cut, maybe_broadcast, small_batches, table, trimmed, written
 
 CHUNK = 16_384  # characters of a chunk; longer documents are giant
 FAN = 32  # neighbouring matrices that one step of the scan combines
@@ -303,14 +303,14 @@ def _giant(docs: DataFrame, path: str, chunk: int, fan: int = FAN) -> DataFrame:
     def whole(rows: pa.Table) -> pa.Table:
         return pa.table({"key": rows.column("key")[:1], "ids": pa.array([b"".join(rows.sort_by("at").column("ids").to_pylist())], pa.binary())})
 
-    chunks = docs.mapInArrow(split, "key string, at long, s int, e int, part string")
+    chunks = docs.mapInArrow(trimmed(split), "key string, at long, s int, e int, part string")
     chunks = written(chunks.dropDuplicates(["key", "at"]), "chunks")  # copies once; chunks spread over tasks
     most, n_chunks = chunks.agg(F.max("at"), F.count("*")).first()
-    leaves = written(chunks.mapInArrow(matrices, "key string, at long, matrix string"), "matrices")
+    leaves = written(chunks.mapInArrow(trimmed(matrices), "key string, at long, matrix string"), "matrices")
     states = scan(leaves, most or 0, fan).select(F.col("key").alias("s_key"), F.col("at").alias("s_at"), "entry", "exit")
     # a counted number of states, some bytes each, spares the chunks a second shuffle
     joined = chunks.join(maybe_broadcast(states, n_chunks), (F.col("key") == F.col("s_key")) & (F.col("at") == F.col("s_at")))
-    ids = joined.select("key", "at", "s", "e", "part", "entry", "exit").mapInArrow(traced, "key string, at long, ids binary")
+    ids = joined.select("key", "at", "s", "e", "part", "entry", "exit").mapInArrow(trimmed(traced), "key string, at long, ids binary")
     return ids.groupBy("key").applyInArrow(whole, "key string, ids binary")
 
 
@@ -335,13 +335,13 @@ def encoded(docs: DataFrame, path: str, view, schema: str, chunk: int = CHUNK, f
 
     crc = F.crc32(F.col("text").cast("binary")).alias("text_crc32")
     out = f"doc_id long, {schema}"
-    small = docs.where(F.length("text") <= chunk).select("doc_id", crc, "text").mapInArrow(run, out)
+    small = docs.where(F.length("text") <= chunk).select("doc_id", crc, "text").mapInArrow(trimmed(run), out)
     key = F.md5(F.col("text").cast("binary")).alias("key")
     large = docs.where(F.length("text") > chunk)
     found = _giant(large.select(key, "text"), path, chunk, fan)
     # the rows of giant texts are some bytes each: where their counted number allows, the ids are not shuffled again
     who = cut(large.select("doc_id", crc, key))
-    return small.unionByName(found.join(maybe_broadcast(who, who.count()), "key").select("doc_id", "text_crc32", "ids").mapInArrow(seen, out))
+    return small.unionByName(found.join(maybe_broadcast(who, who.count()), "key").select("doc_id", "text_crc32", "ids").mapInArrow(trimmed(seen), out))
 
 
 def encode(docs: DataFrame, path: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
@@ -363,7 +363,7 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
             out = [model.decode(np.frombuffer(x, "<u2")).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
             yield pa.record_batch({c: batch.column(c) for c in ("doc_id", "text_crc32", "ids")} | {"text": pa.array(out, pa.string())})
 
-    return coded.select("doc_id", "text_crc32", "ids").mapInArrow(run, "doc_id long, text_crc32 long, ids binary, text string")
+    return coded.select("doc_id", "text_crc32", "ids").mapInArrow(trimmed(run), "doc_id long, text_crc32 long, ids binary, text string")
 
 
 def _digest(model: Pieces, ids: list[bytes], crcs: list[int]) -> dict[str, pa.Array]:

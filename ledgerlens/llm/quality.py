@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import table
+from ledgerlens.llm.common import small_batches, table, trimmed
 
 DIM = 1 << 18
 TRAIN_ROWS = 3000  # bound of the labelled sample the model is fitted on: those whose hashed doc_id is smallest
@@ -124,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
                 val.append((c / max(1, c.sum())).astype("<f4").tobytes())
             yield pa.record_batch({"id": batch.column("_id"), "y": pa.array([int(y > 0.5) for y in batch.column("_y").to_pylist()], pa.int32()), "i": pa.array(idx, pa.binary()), "x": pa.array(val, pa.binary())})
 
-    got = chosen.select("_id", "_y", "text").mapInArrow(vectors, "id long, y int, i binary, x binary").collect()
+    got = chosen.select("_id", "_y", "text").mapInArrow(trimmed(vectors), "id long, y int, i binary, x binary").collect()
     got.sort(key=lambda r: (r["id"], bytes(r["i"])))
     return fit([(np.frombuffer(r["i"], "<i4").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(float), r["y"]) for r in got])
 
@@ -146,7 +146,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
             kept = {c: batch.column(c) for c in keep}
             yield pa.record_batch(kept | {"_score": pa.array(out, pa.float64())})
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema + ", _score double")
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(trimmed(run), schema + ", _score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -166,6 +166,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have the bias alone for a score; repeated rows stay or go together; columns of any name may
     follow; no documents give none, and without labels every score is 0.5, so that all go.
     """
+    small_batches(spark)
     weights = train(docs, table(spark, sf_dir, "labels"))
     scored = score(docs.select(F.struct(*docs.columns).alias("row"), "text"), weights, ["row"])
     return scored.where(F.col("_score") >= THRESHOLD).select("row.*")
