@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from ledgerlens.llm.common import by_size, maybe_broadcast, new_path, small_batches, table, trim
 
 END = 2
-BLOCK_IDS = 1 << 19  # a block closes at so many ids; one longer document makes a block of its own
+BLOCK_IDS = 1 << 16  # a block closes at so many ids, which keeps a row and its copies under half a region of a 1 GB heap; one longer document makes a block of its own
 BUCKET_DOCS = 20_000
 GROUP = 1024  # buckets whose sums run in one task
 CACHE = 60_000  # distinct words of a generation; a worker remembers two

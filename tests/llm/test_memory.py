@@ -20,3 +20,12 @@ def test_stages_and_the_store_send_small_batches(spark, tmp_path):
         spark.conf.set(NAME, "10000")
         stage()
         assert int(spark.conf.get(NAME)) <= 1000
+
+
+def test_small_batches_bound_what_parquet_hands_over(spark):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    for now, then in (("4096", 250), ("10", 10)):
+        spark.conf.set(name, now)
+        common.small_batches(spark)
+        assert int(spark.conf.get(name)) == then
+    spark.conf.unset(name)

@@ -42,3 +42,11 @@ def test_round_trip_against_the_library(spark):
         start += len(ids)
     assert sorted(got, key=lambda r: r[1]) == want
     assert t.token_offsets(docs.limit(0), path).count() == 0
+
+
+def test_blocks_stay_small(spark, tmp_path):
+    """Rows of a megabyte, of which Spark and Parquet hold several copies, filled the executors' heaps."""
+    docs = spark.createDataFrame([(i, "word " * 4000) for i in range(80)], "doc_id long, text string")
+    t.encode(docs.coalesce(1), str(tmp_path / "ids"), t.default_tokenizer())
+    blocks = spark.read.parquet(str(tmp_path / "ids")).selectExpr("octet_length(ids) as n", "size(doc_ids) as docs").collect()
+    assert sum(r.docs for r in blocks) == 80 and max(r.n for r in blocks) <= 1 << 18
