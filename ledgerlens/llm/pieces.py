@@ -8,7 +8,10 @@ associatively (``compose``) up a tree, ``FAN`` neighbours a task; the states at
 tree to all chunks, and each chunk is backtraced on its own. No task holds more than ``FAN`` matrices of a text.
 
 No piece joins a sign to the white space after it, so a segment (spaces and the word after them) is a path of its
-own: matrices of chunks with white space have rank one, and segments are encoded once each and remembered.
+own: matrices of chunks with white space have rank one, and segments are encoded once each and remembered. Where no
+piece of the model joins a letter to a sign after it, a word and the signs at its end are two paths. Arrow tells the
+words of many texts apart, so that only different ones are looked up, and new ones go to the library in one call: calls
+with few words cost it several times as much, and its own threads more than they save.
 """
 
 from __future__ import annotations
@@ -17,10 +20,12 @@ import json
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +33,8 @@ from ledgerlens.llm.common import by_size, cut, maybe_broadcast, small_batches,
 
 CHUNK = 16_384  # characters of a chunk; longer documents are giant
 FAN = 32  # neighbouring matrices that one step of the scan combines
-CACHE = 80_000  # segments a worker remembers; it forgets all of them beyond
+CACHE = 80_000  # segments of a generation; a worker remembers two
+SIGNS = ".,;:!?*#$%&|()"
 LONG = 200  # longer segments are not remembered
 SPACE = "▁"
 SEGMENT = re.compile(" +[^ \n]*|\n[^ \n]*")
@@ -58,6 +64,9 @@ class Pieces:
         if any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.ids) or sp.encode("ﬁ  x") == sp.encode("fi x"):
             raise ValueError("the model's pieces span white space, or it normalises texts")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # segments before the last overflow: those met again are kept
+        before = {a for p in self.ids for a, b in zip(p, p[1:]) if b in SIGNS and a not in SIGNS + SPACE}
+        self.signs = "" if before and pc.any(pc.utf8_is_alpha(pa.array(sorted(before)))).as_py() else SIGNS
         self.fits: dict[tuple[str, str], bool] = {}
 
     # ------------------------------------------------------------ plain rules
@@ -85,20 +94,28 @@ class Pieces:
         return [i] if i is not None else [self.library.piece_to_id(f"<0x{b:02X}>") for b in piece.encode()]
 
     # ------------------------------------------------------------ segments
+    def _new(self, found: list[str]) -> list[bytes]:
+        """Ids of segments by the library: each starts with a space, a line feed or, signs after a word, with neither."""
+        # the library adds the leading space itself; before a line feed it is a piece of its own, and before signs a letter stands
+        coded = self.library.encode([s[1:] if s[0] == " " else s if s[0] == "\n" else "a" + s for s in found], num_threads=1) if found else []
+        coded = [self.code(SPACE) if s == " " else c if s[0] == " " else c[1:] for s, c in zip(found, coded)]
+        ends = np.cumsum([0, *map(len, coded)]) * 2
+        flat = np.fromiter(chain.from_iterable(coded), "<u2", int(ends[-1]) // 2).tobytes()
+        return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
     def segments(self, found: list[str]) -> list[bytes]:
-        """Ids (16 bits each) of segments; each starts with a space or a line feed."""
-        known = self.known
+        """Ids (16 bits each) of segments; each starts with a space or a line feed, or is of signs alone."""
+        if len(self.known) > CACHE:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         got = list(map(known.get, found))
         if None in got:
-            new = list({s for s, g in zip(found, got) if g is None})
-            # the library adds the leading space itself; before a line feed it is a piece of its own
-            coded = self.library.encode([s[1:] if s[0] == " " else s for s in new])
-            coded = [self.code(SPACE) if s == " " else c if s[0] == " " else c[1:] for s, c in zip(new, coded)]
-            fresh = {s: np.array(c, "<u2").tobytes() for s, c in zip(new, coded)}
-            if len(known) > CACHE:
-                known.clear()
+            new = {s for s, g in zip(found, got) if g is None}
+            known.update((s, older[s]) for s in new if s in older)
+            new = [s for s in new if s not in known]
+            fresh = dict(zip(new, self._new(new)))
             known.update((s, g) for s, g in fresh.items() if len(s) <= LONG)
-            got = [g if g is not None else fresh[s] for s, g in zip(found, got)]
+            got = [g if g is not None else known[s] if s in known else fresh[s] for s, g in zip(found, got)]
         return got
 
     def encode(self, text: str | None) -> bytes:
@@ -106,6 +123,31 @@ class Pieces:
             return b""
         return b"".join(self.segments(SEGMENT.findall(" " + text.replace(SPACE, " "))))
 
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text. A text without two spaces in a row is cut at its spaces and before its line feeds; others go one by one."""
+        texts = pc.replace_substring(texts, SPACE, " ")
+        plain = pc.invert(pc.or_(pc.match_substring(texts, "  "), pc.or_(pc.starts_with(texts, " "), pc.equal(texts, ""))))
+        cut = pc.split_pattern(pc.replace_substring(texts.filter(plain), "\n", " \n"), " ")
+        counts, coded = pc.list_value_length(cut).to_numpy(), pc.list_flatten(cut).dictionary_encode()
+        words = coded.dictionary
+        bases = pc.utf8_rtrim(words, characters=self.signs) if self.signs else words
+        whole = pc.invert(pc.utf8_is_alpha(pc.utf8_ltrim(bases, characters="\n"))).to_numpy(zero_copy_only=False).tolist()
+        words, bases = (x.to_numpy(zero_copy_only=False).tolist() for x in (words, bases))
+        parts = [w if ok else b for w, b, ok in zip(words, bases, whole)]
+        tails = ["" if ok else w[len(b) :] for w, b, ok in zip(words, bases, whole)]
+        different = list(set(tails) - {""})
+        got = self.segments([w if w[:1] == "\n" else " " + w for w in parts] + different)
+        ends = dict(zip(different, got[len(parts) :]))
+        got = [g + ends[t] if t else g for g, t in zip(got, tails)]
+        flat, n = np.frombuffer(b"".join(got), "<u2"), np.fromiter(map(len, got), np.int64, len(got)) // 2
+        firsts, order = np.cumsum(n) - n, coded.indices.to_numpy()
+        n = n[order]
+        stops = np.cumsum(n)
+        ids = flat[np.repeat(firsts[order] - stops + n, n) + np.arange(n.sum())].tobytes()
+        cuts = (np.concatenate(([0], stops))[np.concatenate(([0], np.cumsum(counts)))] * 2).tolist()
+        found = iter([ids[a:b] for a, b in zip(cuts, cuts[1:])])
+        return [next(found) if ok else self.encode(t.as_py()) for ok, t in zip(plain.to_pylist(), texts)]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The text's UTF-8 bytes, without the leading space."""
         raw = b"".join(map(self.bytes.__getitem__, ids.tolist()))
@@ -189,7 +231,7 @@ class Pieces:
             start = (s + entry[0], entry[1])
             ends = [x for x in self.walk(text, {start: 1}, head)[0] if x[0] == head]
             first = self._path(text, start, ends[0], head)
-        middle = [i for x in self.segments(SEGMENT.findall(text[head:tail])) for i in np.frombuffer(x, "<u2").tolist()]
+        middle = np.frombuffer(b"".join(self.segments(SEGMENT.findall(text[head:tail]))), "<u2").tolist()
         return first + middle + self._path(text, (tail, ""), (e + exit_[0], exit_[1]), e)
 
     def _path(self, text: str, start: tuple[int, str], goal: tuple[int, str], stop: int) -> list[int]:
@@ -323,8 +365,9 @@ def encoded(docs: DataFrame, path: str, view, schema: str, chunk: int = CHUNK, f
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
         for batch in batches:
-            for part in by_size(batch, "text", 500, 2_000_000):
-                ids = list(map(model.encode, part.column("text").to_pylist()))
+            for part in by_size(batch, "text", limit=2_000_000):
+                ids = model.batch(part.column("text"))
+                pa.default_memory_pool().release_unused()
                 yield pa.record_batch({"doc_id": part.column("doc_id")} | view(model, ids, part.column("text_crc32").to_pylist()))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

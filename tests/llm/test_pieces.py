@@ -3,6 +3,7 @@ from functools import reduce
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import pieces as p
@@ -38,6 +39,29 @@ def test_whole_texts_as_the_library(model):
         assert np.frombuffer(model.encode(t), "<u2").tolist() == model.library.encode(t or "")
 
 
+def test_batches_as_the_library(model):
+    rng = random.Random(4)
+    some = [*texts(), "", "a, b.", "\na,\nb. ", "x(", "é). q", "a ", "a \n", "\n\n", "a\t,b"]
+    some += ["".join(rng.choices(f"abé日 \n.,;(){p.SPACE} ", k=rng.randint(1, 40))) for _ in range(500)]
+    got = model.batch(pa.array(some))
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [model.library.encode(t) for t in some]
+
+
+def test_new_words_go_to_the_library_once_and_in_one_call():
+    calls, fresh = [], p.Pieces(MODEL)
+
+    class Library:
+        def encode(self, found, **_):
+            calls.append(found)
+            return p.model_of(MODEL).library.encode(found)
+
+    fresh.library = Library()
+    fresh.batch(pa.array(["one two, two. two", "two; one", "two"] * 50))
+    assert len(calls) == 1 and sorted(calls[0]) == ["a,", "a.", "a;", "one", "two"]
+    fresh.batch(pa.array(["two. one"]))
+    assert len(calls) == 1
+
+
 def test_chunks_as_the_library(model):
     for t in texts():
         for chunk in (1, 4, 50):
