@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import small_batches, table, trimmed
+from ledgerlens.llm.common import small_batches, table, trim, trimmed
 
 DIM = 1 << 18
 TRAIN_ROWS = 3000  # bound of the labelled sample the model is fitted on: those whose hashed doc_id is smallest
@@ -76,7 +76,8 @@ class Grams:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05) -> np.ndarray:
-    """FTRL-proximal weights; the last one is the bias. rows: (indices, values, label), visited in a fixed order."""
+    """FTRL-proximal weights; the last one is the bias. rows: (indices, values, label), visited in a fixed order;
+    those of 32 bits are widened a row at a time."""
     z, n = np.zeros(DIM + 1), np.zeros(DIM + 1)
     order = np.arange(len(rows))
     rng = np.random.default_rng(5)
@@ -90,7 +91,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4, alpha:
         rng.shuffle(order)
         for k in order:
             i, x, y = rows[k]
-            i, x = np.concatenate((i, bias)), np.concatenate((x * SCALE, [1.0]))
+            i, x = np.concatenate((i, bias)), np.concatenate((np.asarray(x, float) * SCALE, [1.0]))
             w = weight(i)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
             s = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
@@ -126,7 +127,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
 
     got = chosen.select("_id", "_y", "text").mapInArrow(trimmed(vectors), "id long, y int, i binary, x binary").collect()
     got.sort(key=lambda r: (r["id"], bytes(r["i"])))
-    return fit([(np.frombuffer(r["i"], "<i4").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(float), r["y"]) for r in got])
+    weights = fit([(np.frombuffer(r["i"], "<i4"), np.frombuffer(r["x"], "<f4"), r["y"]) for r in got])
+    del got
+    trim()  # the driver holds the vectors no longer
+    return weights
 
 
 def score(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:

@@ -53,3 +53,20 @@ def test_scores_against_plain_python(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r._score for r in q.score(docs, weights, ["doc_id"]).collect()}
     assert all(abs(got[i] - plain(t)) < 1e-6 for i, t in enumerate(texts))
+
+
+def test_the_driver_gives_back_what_training_held(spark, monkeypatch):
+    """Rows stay as narrow as they came, and the weights are the same; the driver's memory is trimmed afterwards."""
+    calls, seen, plain = [], [], q.fit
+
+    def fit(rows):
+        seen.extend(rows)
+        return plain(rows)
+
+    monkeypatch.setattr(q, "trim", lambda: calls.append(1))
+    monkeypatch.setattr(q, "fit", fit)
+    docs = spark.createDataFrame([(i, f"good words number {i}" if i % 2 else "bad bad bad") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = q.train(docs, labels)
+    assert calls == [1] and {(i.itemsize, x.itemsize) for i, x, _ in seen} == {(4, 4)}
+    assert (got == plain([(i.astype(np.int64), x.astype(float), y) for i, x, y in seen])).all() and got.any()
